@@ -30,7 +30,9 @@ from mailgrove.llm.tokens import encoder, vocabulary
 
 WINDOW, END_ID = 1024, 2
 #: Lengths above this share of the window are large; their groups; rounds of the programme.
-LARGE, GROUPS, ROUNDS = 0.125, 48, 600
+LARGE, GROUPS, ROUNDS = 0.25, 48, 600
+#: A configured bin stays if, with its actual lengths, it wastes at most this share; else its items are best-fitted. The best of these wins.
+KEPT_WASTE = (0.0, 0.002, 0.01, 0.03, 1.0)
 
 
 def _knapsack(sizes: np.ndarray, worth: np.ndarray, room: int) -> tuple[float, np.ndarray]:
@@ -83,6 +85,59 @@ def configurations(sizes: np.ndarray, need: np.ndarray, room: int, rounds: int =
     return [(int(a + 1e-7), basis[:, j].astype(np.int64)) for j, a in enumerate(amount) if a + 1e-7 >= 1]
 
 
+def _best_fit(bins: list[list], left: dict[int, int], window: int) -> list[tuple[int, list[tuple[int, int]]]]:
+    """Put the items left into the space that remains and into new bins: best fit, longest first, on counted bins."""
+    rooms: dict[int, list] = {}
+    order: list[int] = []
+    for b in bins:
+        if b[1] > 0:
+            if b[1] not in rooms:
+                rooms[b[1]] = []
+                insort(order, b[1])
+            rooms[b[1]].append(b)
+    for s in sorted(left, reverse=True):
+        n = left[s]
+        while n:
+            at = bisect_left(order, s)
+            if at == len(order):
+                k = window // s
+                full, rest = divmod(n, k)
+                fresh = ([[full, window - s * k, [(s, k)]]] if full else []) + ([[1, window - s * rest, [(s, rest)]]] if rest else [])
+                n = 0
+                for b in fresh:
+                    bins.append(b)
+                    if b[1]:
+                        if b[1] not in rooms:
+                            rooms[b[1]] = []
+                            insort(order, b[1])
+                        rooms[b[1]].append(b)
+                continue
+            room = order[at]
+            b = rooms[room].pop()
+            if not rooms[room]:
+                del rooms[room]
+                order.pop(at)
+            take = min(b[0], n)
+            if take < b[0]:  # only some of the bins alike get one
+                rest = [b[0] - take, b[1], list(b[2])]
+                bins.append(rest)
+                if room not in rooms:
+                    rooms[room] = []
+                    insort(order, room)
+                rooms[room].append(rest)
+                b[0] = take
+            inside = dict(b[2])
+            inside[s] = inside.get(s, 0) + 1
+            b[1], b[2] = room - s, sorted(inside.items(), reverse=True)
+            n -= take
+            if b[1]:
+                if b[1] not in rooms:
+                    rooms[b[1]] = []
+                    insort(order, b[1])
+                rooms[b[1]].append(b)
+    return [(b[0], b[2]) for b in bins]
+
+
 def plan(histogram: dict[int, int], window: int = WINDOW) -> list[tuple[int, list[tuple[int, int]]]]:
     """Bins for all items: (number of bins, [(length, items of that length in each bin)])."""
     left = {s: n for s, n in histogram.items() if n > 0}
@@ -144,56 +199,16 @@ def plan(histogram: dict[int, int], window: int = WINDOW) -> list[tuple[int, lis
         for g in stock:
             for s, n in g:
                 left[s] = left.get(s, 0) + n
-    # Best fit, longest first, on counted bins.
-    rooms: dict[int, list] = {}
-    order: list[int] = []
-    for b in bins:
-        if b[1] > 0:
-            if b[1] not in rooms:
-                rooms[b[1]] = []
-                insort(order, b[1])
-            rooms[b[1]].append(b)
-    for s in sorted(left, reverse=True):
-        n = left[s]
-        while n:
-            at = bisect_left(order, s)
-            if at == len(order):
-                k = window // s
-                full, rest = divmod(n, k)
-                fresh = ([[full, window - s * k, [(s, k)]]] if full else []) + ([[1, window - s * rest, [(s, rest)]]] if rest else [])
-                n = 0
-                for b in fresh:
-                    bins.append(b)
-                    if b[1]:
-                        if b[1] not in rooms:
-                            rooms[b[1]] = []
-                            insort(order, b[1])
-                        rooms[b[1]].append(b)
-                continue
-            room = order[at]
-            b = rooms[room].pop()
-            if not rooms[room]:
-                del rooms[room]
-                order.pop(at)
-            take = min(b[0], n)
-            if take < b[0]:  # only some of the bins alike get one
-                rest = [b[0] - take, b[1], list(b[2])]
-                bins.append(rest)
-                if room not in rooms:
-                    rooms[room] = []
-                    insort(order, room)
-                rooms[room].append(rest)
-                b[0] = take
-            inside = dict(b[2])
-            inside[s] = inside.get(s, 0) + 1
-            b[1], b[2] = room - s, sorted(inside.items(), reverse=True)
-            n -= take
-            if b[1]:
-                if b[1] not in rooms:
-                    rooms[b[1]] = []
-                    insort(order, b[1])
-                rooms[b[1]].append(b)
-    return [(b[0], b[2]) for b in bins]
+    tries = []
+    for waste in KEPT_WASTE:
+        kept = [[n, room, list(inside)] for n, room, inside in bins if room <= waste * window]
+        loose = dict(left)
+        for n, room, inside in bins:
+            if room > waste * window:
+                for size, k in inside:
+                    loose[size] = loose.get(size, 0) + n * k
+        tries.append(_best_fit(kept, loose, window))
+    return min(tries, key=lambda t: sum(n for n, _ in t))
 
 
 def places(bins) -> dict[int, np.ndarray]:

@@ -3,15 +3,15 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from mailgrove.llm import linededup, simhash
+from mailgrove.llm import ann, bpe, langid, licenses, linededup, packing, simhash, tokenstore, toxicity, vecdedup
 
-MODULES = (simhash, linededup)
+MODULES = (langid, simhash, toxicity, linededup, ann, licenses, bpe, tokenstore, vecdedup, packing)
 
 
 def queries() -> dict:
-    found = {name: f for m in MODULES for name, f in m.QUERIES.items()}
-    return found | {"pipeline": corpus_pipeline.run}
+    return {name: f for m in MODULES for name, f in m.QUERIES.items()} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict:
-    return {name: sql for m in MODULES for name, sql in getattr(m, "ORACLES", {}).items()}
+    pipeline = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return {name: sql for m in MODULES for name, sql in getattr(m, "ORACLES", {}).items()} | pipeline
