@@ -12,6 +12,7 @@ bound on what the driver builds and broadcasts.
 from __future__ import annotations
 
 import re
+import uuid
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -20,14 +21,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mailgrove.llm.shared import arrow_batches
+from mailgrove.llm.shared import arrow_batches, settle, unsettle
 
 LETTERS = re.compile(r"[^\W\d_]+")
 #: Boundary marks stand outside Unicode's range.
 OPEN, CLOSE = 0x110000, 0x110001
 MULT, MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 #: Documents looked at together, so that memory doesn't grow with Arrow's batch size.
-DOCS = 512
+DOCS = 1024
 GRAMS = "size int, gram long, context long, suffix long, label int, n long"
 
 
@@ -79,68 +80,83 @@ def pieces_to_words(pieces: list[str]):
     return words, np.array(owner, np.int64)
 
 
-def count_grams(rows: DataFrame, order: int) -> DataFrame:
-    """rows (text, label int) -> summed GRAMS over all rows; partial sums are made in each task."""
+class Seen:
+    """Numbers of the distinct pieces a worker has met, up to `cap`; `full` tells when to begin anew."""
+
+    def __init__(self, cap: int = 600_000):
+        self.cap, self.index = cap, {}
+
+    def locate(self, pieces: list[str]) -> tuple[np.ndarray, list[str]]:
+        """(number of each piece, the pieces met for the first time in order of their numbers)."""
+        index, before = self.index, len(self.index)
+        at = np.fromiter((index.setdefault(p, len(index)) for p in pieces), np.int64, len(pieces))
+        return at, [p for p, i in zip(pieces, at.tolist(), strict=True) if i >= before]
+
+    @property
+    def full(self) -> bool:
+        return len(self.index) > self.cap
 
-    def run(batches):
-        held, size = [], 0
 
-        def fold():
-            table = np.concatenate(held, axis=1)
-            held.clear()
-            _, first, back = np.unique(table[1] * np.int64(31) + table[4] * np.int64(0x5851F42D4C957F2D), return_index=True, return_inverse=True)
-            n = np.bincount(back, table[5]).astype(np.int64)
-            kept = table[:, first]
-            kept[5] = n
-            return kept
+def _gram_rows(pieces: list[str], counts: np.ndarray, order: int):
+    """Batches of GRAMS for pieces with counts [pieces, labels]."""
+    words, owner = pieces_to_words(pieces)
+    for at in range(0, len(words), 100_000):
+        some, mine = words[at : at + 100_000], counts[owner[at : at + 100_000]]
+        sizes, levels = grams_of(some, order)
+        word = np.repeat(np.arange(len(some)), sizes)
+        for k, (valid, gram, context, suffix) in enumerate(levels, 1):
+            keys, first, back = np.unique(gram[valid], return_index=True, return_inverse=True)
+            context, suffix = context[valid][first].view(np.int64), suffix[valid][first].view(np.int64)
+            of = word[valid]
+            for label in np.flatnonzero(mine.any(axis=0)).tolist():
+                n = np.bincount(back, mine[of, label], len(keys)).astype(np.int64)
+                has = np.flatnonzero(n)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(has), k, np.int32)), pa.array(keys[has].view(np.int64)), pa.array(context[has]), pa.array(suffix[has]), pa.array(np.full(len(has), label, np.int32)), pa.array(n[has])], ["size", "gram", "context", "suffix", "label", "n"]
+                )
 
+
+def count_grams(rows: DataFrame, order: int, labels: int) -> DataFrame:
+    """rows (text, label int) -> summed GRAMS over all rows; each task counts the grams of a distinct piece once."""
+
+    def run(batches):
+        seen, counts = Seen(), np.zeros((1 << 16, labels), np.int64)
         for batch in arrow_batches(batches, DOCS):
             pieces, index, offsets = distinct_words(batch.column(0))
-            labels = batch.column(1).to_numpy()
             if not len(index):
                 continue
-            label = np.repeat(labels, np.diff(offsets)).astype(np.int64)
-            pair, n = np.unique(index * 1024 + label, return_counts=True)
-            words, owner = pieces_to_words(pieces)
-            if not words:
-                continue
-            # each word once for each label its piece has
-            first = np.searchsorted(pair // 1024, np.arange(len(pieces) + 1))
-            reps = (first[1:] - first[:-1])[owner]
-            which = np.repeat(np.arange(len(words)), reps)
-            inner = np.arange(len(which)) - np.repeat(np.cumsum(reps) - reps, reps)
-            row = first[owner][which] + inner
-            sizes, levels = grams_of(words, order)
-            starts = np.cumsum(sizes) - sizes
-            span = sizes[which]
-            at = np.arange(int(span.sum())) - np.repeat(np.cumsum(span) - span, span) + np.repeat(starts[which], span)
-            times, tag = np.repeat(n[row], span), np.repeat(pair[row] % 1024, span)
-            for k, (valid, gram, context, suffix) in enumerate(levels, 1):
-                ok = valid[at]
-                a = at[ok]
-                part = np.stack([np.full(len(a), k), gram[a].view(np.int64), context[a].view(np.int64), suffix[a].view(np.int64), tag[ok], times[ok]])
-                held.append(part)
-            held[:] = [fold()]
-            size = held[0].shape[1]
-            if size > 400_000:
-                t = held.pop()
-                yield pa.RecordBatch.from_arrays([pa.array(x) if i not in (0, 4) else pa.array(x.astype(np.int32)) for i, x in enumerate(t)], ["size", "gram", "context", "suffix", "label", "n"])
-        if held:
-            t = held.pop()
-            yield pa.RecordBatch.from_arrays([pa.array(x) if i not in (0, 4) else pa.array(x.astype(np.int32)) for i, x in enumerate(t)], ["size", "gram", "context", "suffix", "label", "n"])
+            at, _ = seen.locate(pieces)
+            while len(seen.index) > len(counts):
+                counts = np.concatenate([counts, np.zeros_like(counts)])
+            label = np.repeat(batch.column(1).to_numpy(), np.diff(offsets)).astype(np.int64)
+            cell, n = np.unique(at[index] * labels + label, return_counts=True)
+            counts.reshape(-1)[cell] += n
+            if seen.full:
+                yield from _gram_rows(list(seen.index), counts[: len(seen.index)], order)
+                seen, counts = Seen(), np.zeros((1 << 16, labels), np.int64)
+        if seen.index:
+            yield from _gram_rows(list(seen.index), counts[: len(seen.index)], order)
 
     parts = rows.select("text", "label").mapInArrow(run, GRAMS)
     return parts.groupBy("size", "gram", "context", "suffix", "label").agg(F.sum("n").alias("n"))
 
 
 def collect_counts(counts: DataFrame, order: int, max_grams: int) -> dict[str, np.ndarray]:
-    """The most frequent grams (ties by hash), at most max_grams rows for each size, as arrays."""
-    parts = [counts.filter(F.col("size") == k).orderBy(F.desc("n"), "gram", "label").limit(max_grams) for k in range(1, order + 1)]
-    whole = parts[0]
-    for p in parts[1:]:
-        whole = whole.unionByName(p)
-    pdf = whole.toPandas()
-    return {c: pdf[c].to_numpy() for c in pdf.columns}
+    """The most frequent grams of each size as arrays: those at or above the least count that keeps at most max_grams rows."""
+    table = settle(counts, "grams")
+    spread = table.groupBy("size", F.least("n", F.lit(10_000)).alias("n")).agg(F.count(F.lit(1)).alias("rows")).collect()  # at most 10,000 rows a size
+    wanted = F.lit(False)
+    for k in range(1, order + 1):
+        kept, least = 0, 1 << 60
+        for n, rows in sorted(((r["n"], r["rows"]) for r in spread if r["size"] == k), reverse=True):
+            kept += rows
+            if kept > max_grams:
+                break
+            least = n
+        wanted = wanted | ((F.col("size") == k) & (F.col("n") >= least))
+    got = table.filter(wanted).toArrow()
+    unsettle(table)
+    return {c: got.column(c).to_numpy() for c in got.column_names}
 
 
 @dataclass
@@ -154,6 +170,7 @@ class Model:
     contexts: list = field(default_factory=list)
     bow: list = field(default_factory=list)
     floor: np.ndarray | None = None
+    name: str = field(default_factory=lambda: uuid.uuid4().hex)
 
     def word_scores(self, words: list[str]):
         """(log-likelihood [words, labels], characters scored [words])."""
@@ -186,6 +203,35 @@ class Model:
         return cs[ends] - cs[ends - sizes], (sizes - self.order + 1).astype(float)
 
 
+class Pieces:
+    """What is known of each distinct piece, computed once a worker: log-likelihoods [labels], characters, and one more number made by `extra`."""
+
+    def __init__(self, model: Model, extra=None):
+        self.model, self.extra = model, extra
+        self._begin()
+
+    def _begin(self):
+        self.seen, self.rows = Seen(), np.zeros((1 << 16, self.model.labels + 2))
+
+    def lookup(self, pieces: list[str]) -> np.ndarray:
+        if self.seen.full:
+            self._begin()
+        at, fresh = self.seen.locate(pieces)
+        if fresh:
+            words, owner = pieces_to_words(fresh)
+            new = np.zeros((len(fresh), self.rows.shape[1]))
+            ll, chars = self.model.word_scores(words)
+            np.add.at(new[:, :-2], owner, ll)
+            np.add.at(new[:, -2], owner, chars)
+            if self.extra:
+                new[:, -1] = self.extra(len(fresh), owner, ll)
+            first = len(self.seen.index) - len(fresh)
+            while len(self.seen.index) > len(self.rows):
+                self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
+            self.rows[first : first + len(fresh)] = new
+        return self.rows[at]
+
+
 def _group(keys: np.ndarray, values: np.ndarray, into: np.ndarray) -> np.ndarray:
     """Sums of values by key, for the sorted keys `into`."""
     at = np.searchsorted(into, keys)

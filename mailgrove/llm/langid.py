@@ -23,7 +23,7 @@ from mailgrove.llm.shared import arrow_batches, one_of, pick
 
 ORDER = 4
 #: Bounds of the fitted model: languages, grams of each size, rows the confidence is calibrated on.
-MAX_LANGUAGES, MAX_GRAMS, CALIBRATION_ROWS = 512, 150_000, 4000
+MAX_LANGUAGES, MAX_GRAMS, CALIBRATION_ROWS = 512, 120_000, 4000
 #: Nats a character that a text may lie above the worst calibration row before it is rejected.
 SLACK = 1.0
 #: More slack for short texts, over the root of the characters.
@@ -39,19 +39,17 @@ class Scorer:
     """Cross-entropies of whole documents under every label."""
 
     def __init__(self, model: charlm.Model):
-        self.model = model
+        self.pieces = charlm.Pieces(model, self.extra)
+
+    extra = None
 
     def documents(self, texts: pa.Array):
         """(log-likelihood [docs, labels], characters [docs])."""
         pieces, index, offsets = charlm.distinct_words(texts)
-        words, owner = charlm.pieces_to_words(pieces)
-        ll, chars = self.model.word_scores(words)
-        piece_ll, piece_n = np.zeros((len(pieces), self.model.labels)), np.zeros(len(pieces))
-        np.add.at(piece_ll, owner, ll)
-        np.add.at(piece_n, owner, chars)
-        cs = np.concatenate([np.zeros((1, self.model.labels)), np.cumsum(piece_ll[index], axis=0)])
-        cn = np.concatenate([[0.0], np.cumsum(piece_n[index])])
-        return cs[offsets[1:]] - cs[offsets[:-1]], cn[offsets[1:]] - cn[offsets[:-1]]
+        known = self.pieces.lookup(pieces)[:, :-1]
+        sums = np.concatenate([np.zeros((1, known.shape[1])), np.cumsum(known[index], axis=0)])
+        out = sums[offsets[1:]] - sums[offsets[:-1]]
+        return out[:, :-1], out[:, -1]
 
 
 def _entropy(ll, n):
@@ -74,7 +72,7 @@ def fit(rows: DataFrame, order: int = ORDER, max_grams: int = MAX_GRAMS):
     label = F.array_position(F.array(*[F.lit(x) for x in langs]), F.col("lang")).cast("int") - 1
     fitted = known.withColumn("label", label).filter("label >= 0")
     apart = F.pmod(F.xxhash64("text"), F.lit(16)) == 0  # by text, so that copies stay on one side
-    counts = charlm.collect_counts(charlm.count_grams(fitted.filter(~apart), order), order, max_grams)
+    counts = charlm.collect_counts(charlm.count_grams(fitted.filter(~apart), order, len(langs)), order, max_grams)
     model = charlm.build(counts, order, len(langs), shared=False)
     held = fitted.filter(apart).orderBy(F.xxhash64("text", F.lit(1))).select("text", "label").limit(CALIBRATION_ROWS).toPandas()
     scale, limit = 0.2, 1e9
@@ -97,7 +95,7 @@ def predict(rows: DataFrame, fitted) -> DataFrame:
     names = np.array([*langs, "und"], dtype=object)
 
     def run(batches):
-        scorer = Scorer(model.value) if langs else None
+        scorer = _scorer(model) if langs else None
         for batch in arrow_batches(batches, charlm.DOCS):
             size = batch.num_rows
             best, score, low = np.full(size, len(langs)), np.zeros(size), np.full(size, np.nan)
@@ -113,6 +111,17 @@ def predict(rows: DataFrame, fitted) -> DataFrame:
     return rows.select("doc_id", "text").mapInArrow(run, "doc_id long, lang_pred string, score double, cross_entropy double, rejected boolean")
 
 
+_SCORERS: dict = {}
+
+
+def _scorer(shared, kind=Scorer):
+    """One scorer a worker and model, so that what it knows of pieces lasts from task to task."""
+    if (key := (kind, shared.value.name)) not in _SCORERS:
+        _SCORERS.clear()
+        _SCORERS[key] = kind(shared.value)
+    return _SCORERS[key]
+
+
 def training_rows(docs: DataFrame, folds: int = 4, held: int = 2) -> DataFrame:
     rows = pick(docs, doc_id="long", text="string", lang="string")
     return rows.filter(fold(F.col("doc_id"), folds) != held)
@@ -127,9 +136,9 @@ def stage(docs: DataFrame) -> DataFrame:
 
     @F.pandas_udf("boolean")
     def keeps(text: pd.Series) -> pd.Series:
-        ok = []
+        ok, scorer = [], _scorer(model)
         for at in range(0, len(text), charlm.DOCS):
-            ll, n = Scorer(model.value).documents(pa.array(text.iloc[at : at + charlm.DOCS], pa.string(), from_pandas=True))
+            ll, n = scorer.documents(pa.array(text.iloc[at : at + charlm.DOCS], pa.string(), from_pandas=True))
             ok.append((n > 0) & (_entropy(ll, n).min(axis=1) <= limit + SHORT / np.sqrt(np.maximum(n, 1))))
         return pd.Series(np.concatenate(ok) if ok else [], dtype=bool)
 

@@ -22,35 +22,39 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mailgrove.llm import charlm
-from mailgrove.llm.langid import Scorer, fold
+from mailgrove.llm.langid import Scorer, _scorer, fold
 from mailgrove.llm.shared import arrow_batches, one_of, pick
 
 ORDER = 6
 #: Bounds of the fitted model: grams of each size; rows the curve is calibrated on.
-MAX_GRAMS, CALIBRATION_ROWS = 200_000, 20_000
+MAX_GRAMS, CALIBRATION_ROWS = 100_000, 20_000
 
 
 class Ratios(Scorer):
+    @staticmethod
+    def extra(n: int, owner: np.ndarray, ll: np.ndarray) -> np.ndarray:
+        """The worst word of each piece: the largest ratio in nats."""
+        worst = np.full(n, -5.0)
+        np.maximum.at(worst, owner, ll[:, 1] - ll[:, 0])
+        return worst
+
     def features(self, texts: pa.Array) -> np.ndarray:
         """[docs, 3]: nats a character over the whole text; of the worst word, and of its second worst, the nats it has in all, damped."""
         pieces, index, offsets = charlm.distinct_words(texts)
-        words, owner = charlm.pieces_to_words(pieces)
-        ll, chars = self.model.word_scores(words)
-        ratio = ll[:, 1] - ll[:, 0] if len(words) else np.zeros(0)
-        total, size, worst = np.zeros(len(pieces)), np.zeros(len(pieces)), np.full(len(pieces), -5.0)
-        np.add.at(total, owner, ratio)
-        np.add.at(size, owner, chars)
-        np.maximum.at(worst, owner, ratio)
-        cs, cn = np.concatenate([[0.0], np.cumsum(total[index])]), np.concatenate([[0.0], np.cumsum(size[index])])
-        mean = (cs[offsets[1:]] - cs[offsets[:-1]]) / np.maximum(cn[offsets[1:]] - cn[offsets[:-1]], 1)
+        known = self.pieces.lookup(pieces)
+        flat = np.stack([known[:, 1] - known[:, 0], known[:, 2]], axis=1)
+        sums = np.concatenate([np.zeros((1, 2)), np.cumsum(flat[index], axis=0)])
+        sums = sums[offsets[1:]] - sums[offsets[:-1]]
+        mean = sums[:, 0] / np.maximum(sums[:, 1], 1)
+        worst = known[:, 3]
         top, second = np.full(len(mean), -5.0), np.full(len(mean), -5.0)
         doc = np.repeat(np.arange(len(mean)), np.diff(offsets))
         of = worst[index]
         np.maximum.at(top, doc, of)
-        order = np.lexsort((-of, doc))
-        d = doc[order]
-        nth = np.arange(len(d)) - np.searchsorted(d, d)
-        second[d[nth == 1]] = of[order][nth == 1]
+        lead = np.flatnonzero(of == top[doc])
+        rest = np.ones(len(of), bool)
+        rest[lead[np.unique(doc[lead], return_index=True)[1]]] = False  # all but one worst word of each text
+        np.maximum.at(second, doc[rest], of[rest])
         return np.stack([np.clip(mean * 10, -3, 3), np.clip(top, -5, 15), np.clip(second, -5, 15)], axis=1)
 
 
@@ -81,12 +85,12 @@ def fit(training: DataFrame, order: int = ORDER, max_grams: int = MAX_GRAMS):
     share = size.get(1, 0) / max(1, sum(size.values()))
     if len(size) < 2:
         return None, None, share
-    model = charlm.build(charlm.collect_counts(charlm.count_grams(training.filter(~apart), order), order, max_grams), order, 2, shared=True)
+    model = charlm.build(charlm.collect_counts(charlm.count_grams(training.filter(~apart), order, 2), order, max_grams), order, 2, shared=True)
     some = training.filter(apart).orderBy(F.xxhash64("text", F.lit(1))).limit(CALIBRATION_ROWS).repartition(32)
     bc = training.sparkSession.sparkContext.broadcast(model)  # bounded by MAX_GRAMS
 
     def measure(batches):
-        scorer = Ratios(bc.value)
+        scorer = _scorer(bc, Ratios)
         for batch in arrow_batches(batches, charlm.DOCS):
             x = scorer.features(batch.column(0))
             yield pa.RecordBatch.from_arrays([pa.array(x[:, 0]), pa.array(x[:, 1]), pa.array(x[:, 2]), batch.column(1)], ["a", "b", "c", "label"])
@@ -109,7 +113,7 @@ def score(docs: DataFrame, fitted) -> DataFrame:
     bc = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        scorer = Ratios(bc.value) if bc.value else None
+        scorer = _scorer(bc, Ratios) if bc.value else None
         for batch in arrow_batches(batches, charlm.DOCS):
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score_texts(scorer, weights, share, batch.column(1)))], ["doc_id", "score"])
 
@@ -123,7 +127,7 @@ def stage(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     @F.pandas_udf("boolean")
     def keeps(text: pd.Series) -> pd.Series:
-        scorer = Ratios(bc.value) if bc.value else None
+        scorer = _scorer(bc, Ratios) if bc.value else None
         ok = [score_texts(scorer, weights, share, pa.array(text.iloc[at : at + charlm.DOCS], pa.string(), from_pandas=True)) < 0.5 for at in range(0, len(text), charlm.DOCS)]
         return pd.Series(np.concatenate(ok) if ok else [], dtype=bool)
 
