@@ -33,7 +33,7 @@ from mailgrove.llm.shared import arrow_batches, new_path, pick
 from mailgrove.llm.tokens import ODD_SPACE, vocabulary
 
 #: Words compiled into the lexicon; documents whose words are counted together; pieces a worker keeps.
-LEXICON, SLICE, CACHE = 32_768, 4096, 400_000
+LEXICON, SLICE, CACHE = 32_768, 4096, 600_000
 #: The vocabulary's pattern for words (fixed value).
 WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\t-\r \x85\p{Z}\p{L}\p{N}]+")
 END = "</w>"

@@ -229,11 +229,11 @@ def places(bins) -> dict[int, np.ndarray]:
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, nth long"
 
 
-def pieces(docs: DataFrame, path: str, window: int = WINDOW, end_id: int = END_ID) -> DataFrame:
+def pieces(docs: DataFrame, path: str, window: int = WINDOW, end_id: int = END_ID, ranks: str | None = None) -> DataFrame:
     """Rows of pieces with their rank (nth) among the pieces of the same length of their task (part)."""
 
     def run(batches):
-        enc, part, met = encoder(path), TaskContext.get().partitionId(), np.zeros(window + 1, np.int64)
+        enc, part, met = encoder(path, ranks), TaskContext.get().partitionId(), np.zeros(window + 1, np.int64)
         tail = np.array([end_id], "<u4").tobytes()
         for batch in arrow_batches(batches, 256):
             rows = []
@@ -252,9 +252,9 @@ def pieces(docs: DataFrame, path: str, window: int = WINDOW, end_id: int = END_I
     return pick(docs, doc_id="long", text="string").mapInArrow(run, PIECES)
 
 
-def pack(docs: DataFrame, path: str, window: int = WINDOW, end_id: int = END_ID) -> DataFrame:
+def pack(docs: DataFrame, path: str, window: int = WINDOW, end_id: int = END_ID, ranks: str | None = None) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
-    cut = settle(pieces(docs, path, window, end_id), "pieces")
+    cut = settle(pieces(docs, path, window, end_id, ranks), "pieces")
     met = settle(cut.groupBy("part", "length").agg(F.count(F.lit(1)).alias("n")), "piece-counts")
     histogram = {r["length"]: r["n"] for r in met.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # at most `window` rows
     table = cut.sparkSession.sparkContext.broadcast(places(plan(histogram, window)))  # bounded by the window, see plan()
@@ -279,7 +279,7 @@ def pack(docs: DataFrame, path: str, window: int = WINDOW, end_id: int = END_ID)
 
 
 def op10_best_fit_packing(spark, sf_dir):
-    return pack(spark.read.parquet(f"{sf_dir}/documents.parquet"), vocabulary("byte_bpe_50k.json"))
+    return pack(spark.read.parquet(f"{sf_dir}/documents.parquet"), vocabulary("byte_bpe_50k.json"), ranks=vocabulary("byte_bpe_50k.tiktoken"))
 
 
 QUERIES = {"op10_best_fit_packing": op10_best_fit_packing}
