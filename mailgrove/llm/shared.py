@@ -12,12 +12,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+_OWN: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that spark.checkpoint.dir names; a temporary one of our own only where it is unset (local tests)."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or _OWN.get(spark.sparkContext.applicationId)
     if not folder:
-        folder = "file://" + tempfile.mkdtemp(prefix="mailgrove-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        folder = _OWN[spark.sparkContext.applicationId] = "file://" + tempfile.mkdtemp(prefix="mailgrove-")
     return folder.rstrip("/")
 
 
