@@ -12,8 +12,10 @@ LOCAL, HOST = r"[a-zA-Z0-9._%+-]+", r"[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}"
 PLAIN = rf"^(?U:\s*)([^<]*?)(?U:\s*)<?({LOCAL}@{HOST})>?(?U:\s*)\z"
 WITH_A = rf"^(?U:\s*)([^<]*?)(?U:\s*)<?({LOCAL})(?U:\s*)\(a\)(?U:\s*)({HOST})>?(?U:\s*)\z"
 WITH_AT = rf"(?i)^(?U:\s*)([^<]*?)(?U:\s*)<?({LOCAL})(?U:\s+)at(?U:\s+)({HOST})>?(?U:\s*)\z"
+#: What needs no repair.
+SIMPLE = rf"^[^<\s](?:[^<]*[^<\s])? <{LOCAL}@{HOST}>\z"
 #: Inside brackets without an @: local part up to the last character that can't be in a host's first label.
-STRIPPED = r"^([^<]*)<([^@>]*[^A-Za-z0-9-])([A-Za-z0-9-]+\.[A-Za-z]{2,4})>(?U:\s*)\z"
+STRIPPED = r"^([^<]*)<([^@>]*[^A-Za-z0-9@>-])([A-Za-z0-9-]+\.[A-Za-z]{2,4})>(?U:\s*)\z"
 
 
 def trim(c: Column) -> Column:
@@ -31,7 +33,8 @@ def normalize_address(c: Column) -> Column:
     pair = lambda p: named(F.regexp_extract(c, p, 1), F.concat(F.regexp_extract(c, p, 2), F.lit("@"), F.regexp_extract(c, p, 3)))
     return (
         # cheap tests first: most addresses are plain
-        F.when(c.contains("(a)") & c.rlike(WITH_A), pair(WITH_A))
+        F.when(c.rlike(SIMPLE), c)
+        .when(c.contains("(a)") & c.rlike(WITH_A), pair(WITH_A))
         .when(F.lower(c).contains("at") & ~c.contains("@") & c.rlike(WITH_AT), pair(WITH_AT))
         .when(~c.contains("@") & c.rlike(STRIPPED), pair(STRIPPED))
         .when(c.rlike(PLAIN), named(F.regexp_extract(c, PLAIN, 1), F.regexp_extract(c, PLAIN, 2)))
