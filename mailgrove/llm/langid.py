@@ -23,7 +23,7 @@ from mailgrove.llm.shared import arrow_batches, one_of, pick
 
 ORDER = 4
 #: Bounds of the fitted model: languages, grams of each size, rows the confidence is calibrated on.
-MAX_LANGUAGES, MAX_GRAMS, CALIBRATION_ROWS = 512, 120_000, 4000
+MAX_LANGUAGES, MAX_GRAMS, CALIBRATION_ROWS = 512, 60_000, 4000
 #: Nats a character that a text may lie above the worst calibration row before it is rejected.
 SLACK = 1.0
 #: More slack for short texts, over the root of the characters.

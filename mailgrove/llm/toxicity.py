@@ -27,7 +27,7 @@ from mailgrove.llm.shared import arrow_batches, one_of, pick
 
 ORDER = 6
 #: Bounds of the fitted model: grams of each size; rows the curve is calibrated on.
-MAX_GRAMS, CALIBRATION_ROWS = 100_000, 20_000
+MAX_GRAMS, CALIBRATION_ROWS = 80_000, 20_000
 
 
 class Ratios(Scorer):
