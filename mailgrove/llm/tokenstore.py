@@ -195,7 +195,8 @@ def write_shards(docs: DataFrame, folder: str, path: str, end_id: int = END_ID)
             yield pa.RecordBatch.from_pydict({"part": pa.array([task.partitionId()], pa.int32()), "path": [f"{folder}/{name}"], "docs": [n], "ids": [made.n_ids]})
 
     placed = pick(docs, doc_id="long", text="string").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    return [r.asDict() for r in placed.mapInArrow(run, "part int, path string, docs long, ids long").orderBy("part").collect()]  # one row a shard
+    made = placed.mapInArrow(run, "part int, path string, docs long, ids long").collect()  # one row a shard; sorting in Spark would write the shards twice
+    return [r.asDict() for r in sorted(made, key=lambda r: r["part"])]
 
 
 def read_shards(spark, manifest: list[dict]) -> DataFrame:
