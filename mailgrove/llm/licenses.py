@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mailgrove.llm.shared import one_of
+from mailgrove.llm.shared import one_of, settle
 
 # Usual short statements of licences (license_id, statement).
 TEMPLATES = [
@@ -68,7 +68,8 @@ def license_scan(files: DataFrame, least: float = LEAST) -> DataFrame:
     """files (doc_id, path, text) -> doc_id, path, license_id, cosine (of its own line, else null), declared_in (the directory or path)."""
     rows = files.select(one_of(files, "doc_id").cast("long").alias("doc_id"), F.coalesce(one_of(files, "path"), F.lit("")).alias("path"), one_of(files, "text").cast("string").alias("text"))
     named = rows.select("doc_id", "path", F.when(F.translate("text", UPPER, LOWER).rlike(CANDIDATE), F.array_distinct(F.filter(F.split("text", "\n"), lambda x: F.translate(x, UPPER, LOWER).rlike(CANDIDATE)))).alias("lines"))
-    named = named.withColumn("dir", F.regexp_extract("path", r"^(.*)/[^/]*$", 1))
+    # read below more than once: without this table every reading would scan the texts
+    named = settle(named.withColumn("dir", F.regexp_extract("path", r"^(.*)/[^/]*$", 1)), "license-lines")
     occur = named.select("doc_id", "path", F.explode("lines").alias("line"))
     scored = score_lines(occur.groupBy("line").agg(F.count(F.lit(1)).alias("n")), least)
     own = occur.join(scored, "line").groupBy("doc_id", "path").agg(F.min(F.struct((-F.col("cosine")).alias("c"), "license_id")).alias("b")).select("doc_id", "path", F.col("b.license_id").alias("own_license"), (-F.col("b.c")).alias("cosine"))
