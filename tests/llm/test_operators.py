@@ -147,6 +147,16 @@ def test_cached_encoder(name):
         assert np.frombuffer(ids, "<u4").tolist() == tok.encode(t, add_special_tokens=False).ids, ascii(t)
 
 
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_cached_encoder_random(name):
+    """Random texts of letters that change with case or composition, marks and odd spaces."""
+    rng = np.random.default_rng(5)
+    letters = list("aAbEéèßñÀ\u0130ıΣς²½Ⅷ5'sStdlv.,!#$%&()*-/:;<=>@[]^_`{|}~\" \n\u0301\u0338\u0307日\u0958ﬁ٣…“\x00\xa0")
+    texts = ["".join(rng.choice(letters, rng.integers(0, 60))) for _ in range(3000)]
+    enc = tokens.Encoder(tokens.vocabulary(name))
+    assert enc.encode(texts) == [enc.whole(t) for t in texts]
+
+
 def test_bpe_codec(odd, none):
     path = tokens.vocabulary("word_bpe_49k.json")
     tok = Tokenizer.from_file(path)
