@@ -17,9 +17,6 @@ import numpy as np
 
 #: Pieces kept by a worker; the cache is emptied when full.
 CACHE, LONG_PIECE = 1_000_000, 48
-#: A Latin word and the marks after it: such a vocabulary always cuts between them, so each is encoded once.
-#: U+0130 is left out, as its lower case ends in a combining mark.
-MARKED = re.compile(r"([A-Za-zÀ-ÖØ-öø-įı-ɏ]+)([!#-&(-/:-@\[-`{-~]+)")
 ODD_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0  -     　]")
 
 
@@ -51,7 +48,6 @@ class Encoder:
         self.tok.no_truncation()
         self.tok.no_padding()
         self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
-        self.mark = next(((t.content, i) for i, t in self.tok.get_added_tokens_decoder().items() if t.special and not t.normalized), None)
         self.spaced = self._spaced()
         self.cache: dict[str, bytes] = {}
         self.ranked = None
@@ -66,15 +62,6 @@ class Encoder:
         """Whether a space before a word is part of its ids."""
         return self.tok.encode(" a", add_special_tokens=False).ids != self.tok.encode("a", add_special_tokens=False).ids
 
-    def _alone(self, pieces: list[str]) -> list[bytes]:
-        """Ids of each piece. A special token, which no piece holds, parts them in one text: that is cheaper than a text a piece."""
-        if not self.mark:
-            return [array("I", e.ids).tobytes() for e in self.tok.encode_batch_fast(pieces, add_special_tokens=False)]
-        (e,) = self.tok.encode_batch_fast([self.mark[0].join(pieces)], add_special_tokens=False)
-        ids = np.array(e.ids, "<u4")
-        data, cuts = ids.tobytes(), [-4, *(np.flatnonzero(ids == self.mark[1]) * 4).tolist(), len(ids) * 4]
-        return [data[a + 4 : b] for a, b in zip(cuts, cuts[1:], strict=False)]
-
     def whole(self, text: str) -> bytes:
         return np.array(self.tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
@@ -102,23 +89,18 @@ class Encoder:
         if len(self.cache) + len(new) > CACHE:
             self.cache.clear()
             new = {x for p in cut if p for x in p}
-        fresh, made = list(new), {}
+        fresh = list(new)
         table = self.cache
-        if not self.spaced:
-            made = {w: m.groups() for w in fresh if (m := MARKED.fullmatch(w))}
-            new = {x for w in fresh for x in made.get(w, (w,))}.difference(table)
-        todo = list(new)
-        for at in range(0, len(todo), 128):
-            some = todo[at : at + 128]
+        for at in range(0, len(fresh), 4096):
+            some = fresh[at : at + 4096]
             if self.ranked:
                 for w in some:
                     table[w] = array("I", self.ranked.encode_ordinary(w)).tobytes()
             else:
-                table.update(zip(some, self._alone(some), strict=True))
-        for w, (word, marks) in made.items():
-            table[w] = table[word] + table[marks]
+                for w, e in zip(some, self.tok.encode_batch_fast(some, add_special_tokens=False), strict=True):
+                    table[w] = array("I", e.ids).tobytes()
         out = [self.whole(t) if p is None else b"".join(map(table.__getitem__, p)) for t, p in zip(texts, cut, strict=True)]
-        for w in {*fresh, *todo}:
+        for w in fresh:
             if len(w) > LONG_PIECE:
                 del table[w]
         return out
