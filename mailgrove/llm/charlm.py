@@ -5,7 +5,7 @@ each run is a word scored by itself between boundary marks. Every distinct word
 scored once, by array operations, and its score is summed over the documents that hold it.
 
 Counts are gathered from every training row: each task counts hashed n-grams of the distinct
-words it sees and Spark adds them up. The n-grams kept are the `max_grams` most frequent, the
+words it sees and Spark adds them up. The n-grams kept are the most frequent, as many as `breadth` roots of their number, the
 bound on what the driver builds and broadcasts.
 """
 
@@ -141,16 +141,20 @@ def count_grams(rows: DataFrame, order: int, labels: int) -> DataFrame:
     return parts.groupBy("size", "gram", "context", "suffix", "label").agg(F.sum("n").alias("n"))
 
 
-def collect_counts(counts: DataFrame, order: int, max_grams: int) -> dict[str, np.ndarray]:
-    """The most frequent grams of each size as arrays: those at or above the least count that keeps at most max_grams rows."""
+def collect_counts(counts: DataFrame, order: int, breadth: int) -> dict[str, np.ndarray]:
+    """The most frequent grams of each size as arrays: those at or above the least count that keeps at most breadth * sqrt(rows of that size).
+
+    What is kept grows with the input, as its root, and all of it stays where there are at most breadth ** 2 rows."""
     table = settle(counts, "grams")
     spread = table.groupBy("size", F.least("n", F.lit(10_000)).alias("n")).agg(F.count(F.lit(1)).alias("rows")).collect()  # at most 10,000 rows a size
     wanted = F.lit(False)
     for k in range(1, order + 1):
         kept, least = 0, 1 << 60
-        for n, rows in sorted(((r["n"], r["rows"]) for r in spread if r["size"] == k), reverse=True):
+        levels = sorted(((r["n"], r["rows"]) for r in spread if r["size"] == k), reverse=True)
+        most = breadth * sum(rows for _, rows in levels) ** 0.5
+        for n, rows in levels:
             kept += rows
-            if kept > max_grams:
+            if kept > most:
                 break
             least = n
         wanted = wanted | ((F.col("size") == k) & (F.col("n") >= least))
