@@ -5,8 +5,8 @@ each run is a word scored by itself between boundary marks. Every distinct word
 scored once, by array operations, and its score is summed over the documents that hold it.
 
 Counts are gathered from every training row: each task counts hashed n-grams of the distinct
-words it sees and Spark adds them up. The n-grams kept are the most frequent, as many as `breadth` roots of their number, the
-bound on what the driver builds and broadcasts.
+words it sees and Spark adds them up. The n-grams kept are the most
+frequent, `breadth` times the root of their number: so much the driver builds and broadcasts.
 """
 
 from __future__ import annotations

@@ -22,7 +22,7 @@ from mailgrove.llm import charlm
 from mailgrove.llm.shared import arrow_batches, one_of, pick
 
 ORDER = 4
-#: Bounds of the fitted model: languages, grams of each size, rows the confidence is calibrated on.
+#: Bounds of the fitted model: languages, roots of the number of grams of each size that are kept, rows the confidence is calibrated on.
 MAX_LANGUAGES, BREADTH, CALIBRATION_ROWS = 512, 120, 4000
 #: Nats a character that a text may lie above the worst calibration row before it is rejected.
 SLACK = 1.0
