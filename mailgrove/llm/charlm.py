@@ -5,8 +5,9 @@ each run is a word scored by itself between boundary marks. Every distinct word
 scored once, by array operations, and its score is summed over the documents that hold it.
 
 Counts are gathered from every training row: each task counts hashed n-grams of the distinct
-words it sees and Spark adds them up. The n-grams kept are the most
-frequent, `breadth` times the root of their number: so much the driver builds and broadcasts.
+words it sees and Spark adds them up. Every n-gram is kept, whatever its count and label, so
+continuation counts and discounts are those of the whole training data. The driver builds the
+arrays and broadcasts them: they grow with the number of distinct n-grams.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mailgrove.llm.shared import arrow_batches, settle, unsettle
+from mailgrove.llm.shared import arrow_batches
 
 LETTERS = re.compile(r"[^\W\d_]+")
 #: Boundary marks stand outside Unicode's range.
@@ -141,25 +142,9 @@ def count_grams(rows: DataFrame, order: int, labels: int) -> DataFrame:
     return parts.groupBy("size", "gram", "context", "suffix", "label").agg(F.sum("n").alias("n"))
 
 
-def collect_counts(counts: DataFrame, order: int, breadth: int) -> dict[str, np.ndarray]:
-    """The most frequent grams of each size as arrays: those at or above the least count that keeps at most breadth * sqrt(rows of that size).
-
-    What is kept grows with the input, as its root, and all of it stays where there are at most breadth ** 2 rows."""
-    table = settle(counts, "grams")
-    spread = table.groupBy("size", F.least("n", F.lit(10_000)).alias("n")).agg(F.count(F.lit(1)).alias("rows")).collect()  # at most 10,000 rows a size
-    wanted = F.lit(False)
-    for k in range(1, order + 1):
-        kept, least = 0, 1 << 60
-        levels = sorted(((r["n"], r["rows"]) for r in spread if r["size"] == k), reverse=True)
-        most = breadth * sum(rows for _, rows in levels) ** 0.5
-        for n, rows in levels:
-            kept += rows
-            if kept > most:
-                break
-            least = n
-        wanted = wanted | ((F.col("size") == k) & (F.col("n") >= least))
-    got = table.filter(wanted).toArrow()
-    unsettle(table)
+def collect_counts(counts: DataFrame) -> dict[str, np.ndarray]:
+    """All grams of all labels as arrays. Their number is that of the distinct grams of the training rows' words."""
+    got = counts.toArrow()
     return {c: got.column(c).to_numpy() for c in got.column_names}
 
 
@@ -272,8 +257,6 @@ def build(counts: dict[str, np.ndarray], order: int, labels: int, shared: bool,
             above = tables[k]
             seen = (above[1] > 0).astype(float)
             c = _group(above[3], seen, keys)
-            # grams whose longer forms were pruned fall back on their own counts
-            c = np.where(c.sum(axis=1, keepdims=True) > 0, c, n)
             if shared:
                 c = np.repeat(c.sum(axis=1, keepdims=True), labels, axis=1)
         else:

@@ -22,8 +22,8 @@ from mailgrove.llm import charlm
 from mailgrove.llm.shared import arrow_batches, one_of, pick
 
 ORDER = 4
-#: Bounds of the fitted model: languages, roots of the number of grams of each size that are kept, rows the confidence is calibrated on.
-MAX_LANGUAGES, BREADTH, CALIBRATION_ROWS = 512, 120, 4000
+#: Bounds of the fitted model: languages, rows the confidence is calibrated on.
+MAX_LANGUAGES, CALIBRATION_ROWS = 512, 4000
 #: Nats a character that a text may lie above the worst calibration row before it is rejected.
 SLACK = 1.0
 #: More slack for short texts, over the root of the characters.
@@ -62,7 +62,7 @@ def _confidence(entropy, n, scale):
     return 1.0 / np.exp(-np.minimum(gap, 700)).sum(axis=1)
 
 
-def fit(rows: DataFrame, order: int = ORDER, breadth: int = BREADTH):
+def fit(rows: DataFrame, order: int = ORDER):
     """rows (doc_id, text, lang): the fitted (languages, model, scale, limit). All rows count, but for the calibration fold."""
     known = rows.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
     top = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()
@@ -72,7 +72,7 @@ def fit(rows: DataFrame, order: int = ORDER, breadth: int = BREADTH):
     label = F.array_position(F.array(*[F.lit(x) for x in langs]), F.col("lang")).cast("int") - 1
     fitted = known.withColumn("label", label).filter("label >= 0")
     apart = F.pmod(F.xxhash64("text"), F.lit(16)) == 0  # by text, so that copies stay on one side
-    counts = charlm.collect_counts(charlm.count_grams(fitted.filter(~apart), order, len(langs)), order, breadth)
+    counts = charlm.collect_counts(charlm.count_grams(fitted.filter(~apart), order, len(langs)))
     model = charlm.build(counts, order, len(langs), shared=False)
     held = fitted.filter(apart).orderBy(F.xxhash64("text", F.lit(1))).select("text", "label").limit(CALIBRATION_ROWS).toPandas()
     scale, limit = 0.2, 1e9
@@ -91,7 +91,7 @@ def fit(rows: DataFrame, order: int = ORDER, breadth: int = BREADTH):
 def predict(rows: DataFrame, fitted) -> DataFrame:
     """rows (doc_id, text) -> doc_id, lang_pred, score, cross_entropy, rejected."""
     langs, model, scale, limit = fitted
-    model = rows.sparkSession.sparkContext.broadcast(model)  # BREADTH roots of the number of grams, MAX_LANGUAGES columns
+    model = rows.sparkSession.sparkContext.broadcast(model)  # all grams, MAX_LANGUAGES columns
     names = np.array([*langs, "und"], dtype=object)
 
     def run(batches):

@@ -26,8 +26,8 @@ from mailgrove.llm.langid import Scorer, _scorer, fold
 from mailgrove.llm.shared import arrow_batches, one_of, pick
 
 ORDER = 6
-#: Bounds of the fitted model: roots of the number of grams of each size that are kept; rows the curve is calibrated on.
-BREADTH, CALIBRATION_ROWS = 160, 20_000
+#: Rows the curve is calibrated on.
+CALIBRATION_ROWS = 20_000
 
 
 class Ratios(Scorer):
@@ -78,16 +78,16 @@ def labelled(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0)
     return rows.join(marks, "doc_id").select("text", "label")
 
 
-def fit(training: DataFrame, order: int = ORDER, breadth: int = BREADTH):
+def fit(training: DataFrame, order: int = ORDER):
     """(model or None, weights, share of toxic rows)."""
     apart = F.pmod(F.xxhash64(F.coalesce("text", F.lit(""))), F.lit(4)) == 0
     size = {r["label"]: r["n"] for r in training.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     share = size.get(1, 0) / max(1, sum(size.values()))
     if len(size) < 2:
         return None, None, share
-    model = charlm.build(charlm.collect_counts(charlm.count_grams(training.filter(~apart), order, 2), order, breadth), order, 2, shared=True)
+    model = charlm.build(charlm.collect_counts(charlm.count_grams(training.filter(~apart), order, 2)), order, 2, shared=True)
     some = training.filter(apart).orderBy(F.xxhash64("text", F.lit(1))).limit(CALIBRATION_ROWS).repartition(32)
-    bc = training.sparkSession.sparkContext.broadcast(model)  # BREADTH roots of the number of grams
+    bc = training.sparkSession.sparkContext.broadcast(model)  # all grams
 
     def measure(batches):
         scorer = _scorer(bc, Ratios)

@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from mailgrove.llm import neardup
+from mailgrove.llm import charlm, neardup
 
 KIND = "doc_id long, text string"
 
@@ -60,3 +60,27 @@ def test_near_copies_odd(spark):
     assert {(r["doc_id"], r["component_id"]) for r in neardup.near_classes(docs).collect()} == {(5, 3), (3, 3), (4, 4), (None, 3), (7, 7), (8, 7)}
     assert neardup.near_classes(docs.limit(0)).count() == 0
     assert {r["doc_id"] for r in corpus_pipeline.drop_near_copies(spark, docs, None).collect()} == {3, 4, None, 7, 8}
+
+
+def test_models_keep_every_gram(spark):
+    """Counts and continuation counts are those of all the training words, as brute force has them: rare grams of the small class too."""
+    rng = np.random.default_rng(5)
+    words = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 7)) for _ in range(9000)]
+    rows = [(" ".join(words[i : i + 9]), int(i % 90 == 0)) for i in range(0, 9000, 9)] + [("common words again", 0)] * 50
+    order = 4
+    df = spark.createDataFrame(rows, "text string, label int")
+    counts = charlm.collect_counts(charlm.count_grams(df, order, 2))
+    want = {}
+    for text, label in rows:
+        for w in text.split():
+            padded = "^" * (order - 1) + w + "$"
+            for end in range(order - 1, len(padded)):
+                for k in range(1, order + 1):
+                    cell = (k, padded[end - k + 1 : end + 1], label)
+                    want[cell] = want.get(cell, 0) + 1
+    for k in range(1, order + 1):
+        for label in (0, 1):
+            pick = (counts["size"] == k) & (counts["label"] == label)
+            assert sorted(counts["n"][pick].tolist()) == sorted(n for (size, _, of), n in want.items() if (size, of) == (k, label))
+    model = charlm.build(counts, order, 2, shared=False)
+    assert [len(x) for x in model.keys] == [len({g for size, g, _ in want if size == k}) for k in range(1, order + 1)]
