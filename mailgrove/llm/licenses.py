@@ -2,8 +2,11 @@
 
 Every line of every text that has a licensing word is a candidate. Distinct candidate lines are
 compared with the templates: a token's weight is its count times ln((1 + N) / (1 + df)) + 1,
-N and df counted over all candidate lines and the templates. A file's licence is that of its
-best line with a cosine of at least `least`. A directory's licence is the one most of its own
+N and df counted over all candidate lines and the templates. In the same way, and with weights
+of their own, the blocks of every text with a word of licence texts are compared with BLOCKS:
+the whole text, the comment block it opens with, its paragraphs, and one to WRAP lines in a row
+(statements that are wrapped). An SPDX tag declares its first licence with a cosine of 1. A
+file's licence is that of its best line, block or tag with a cosine of at least `least`. A directory's licence is the one most of its own
 licensed files declare (ties: the first in alphabetical order). A file without a licence of its
 own takes that of its nearest licensed directory upwards, found by joins of directory paths.
 
@@ -36,6 +39,57 @@ TEMPLATES = [
 ]
 #: A line without one of these can't come near a template (fixed values).
 CANDIDATE = r"licen[sc]e|licen[sc]ed|public domain|spdx"
+#: Headings, headers, opening paragraphs and full texts (license_id, text); one id may have several.
+_GNU = "This {what} is free software; you can redistribute it and/or modify it under the terms of the GNU {name}General Public License as published by the Free Software Foundation; either version {version} of the License, or (at your option) any later version."
+_WARRANTY = " This {what} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {name}General Public License for more details. You should have received a copy of the GNU {name}General Public License along with this {what}. If not, see <https://www.gnu.org/licenses/>."
+_GNU_KINDS = [("AGPL-3.0", "Affero ", "3", "program"), ("GPL-2.0", "", "2", "program"), ("GPL-3.0", "", "3", "program"), ("LGPL-2.1", "Lesser ", "2.1", "library")]
+_APACHE = "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License."
+_BSD = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."
+_BSD_NAME = " 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."
+_BSD_END = " THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+_MIT = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:"
+_MIT_END = " The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+_ISC = "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."
+_ISC_END = " THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."
+BLOCKS = [
+    *TEMPLATES,
+    *[(i, _GNU.format(what=what, name=name, version=v)) for i, name, v, what in _GNU_KINDS],
+    *[(i, (_GNU + _WARRANTY).format(what=what, name=name, version=v)) for i, name, v, what in _GNU_KINDS],
+    ("AGPL-3.0", "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007"),
+    ("AGPL-3.0", "The GNU Affero General Public License is a free, copyleft license for software and other kinds of works, specifically designed to ensure cooperation with the community in the case of network server software."),
+    ("Apache-2.0", "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/"),
+    ("Apache-2.0", _APACHE),
+    ("Apache-2.0", _APACHE + " You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License."),
+    ("BSD-2-Clause", "BSD 2-Clause License"),
+    ("BSD-2-Clause", _BSD + _BSD_END),
+    ("BSD-3-Clause", "BSD 3-Clause License"),
+    ("BSD-3-Clause", _BSD + _BSD_NAME + _BSD_END),
+    ("CC-BY-4.0", "Creative Commons Attribution 4.0 International"),
+    ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
+    ("CC-BY-NC-4.0", "Creative Commons Attribution-NonCommercial 4.0 International"),
+    ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
+    ("CC0-1.0", "Creative Commons Legal Code CC0 1.0 Universal"),
+    ("GPL-2.0", "GNU GENERAL PUBLIC LICENSE Version 2, June 1991"),
+    ("GPL-3.0", "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("GPL-3.0", "The GNU General Public License is a free, copyleft license for software and other kinds of works."),
+    ("ISC", "ISC License"),
+    ("ISC", _ISC),
+    ("ISC", _ISC + _ISC_END),
+    ("LGPL-2.1", "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999"),
+    ("MIT", "MIT License"),
+    ("MIT", "The MIT License (MIT)"),
+    ("MIT", _MIT),
+    ("MIT", _MIT + _MIT_END),
+    ("MPL-2.0", "Mozilla Public License Version 2.0"),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
+]
+#: A block without one of these can't come near one of BLOCKS.
+BLOCK_CANDIDATE = CANDIDATE + r"|permission (?:is hereby|to use)|redistribut|creative\s+commons|cc0|as is|general\s+public|hereby\s+granted"
+#: Lines that are blank but for comment marks part paragraphs; the opening comment block ends at a line without a mark.
+BLANK, COMMENT = r"^[\s#*/;%!<>-]*$", r"^\s*(?:#|/\*|\*|//|;|--|%|<!--|$)"
+SPDX = r"spdx-license-identifier:[\s(]*([a-z0-9][a-z0-9.+-]*)"
+#: Lines of a wrapped statement.
+WRAP = 4
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 LEAST = 0.75
 
@@ -44,14 +98,26 @@ def _tokens(line):
     return F.filter(F.split(F.translate(line, UPPER, LOWER), "[^a-z0-9]+"), lambda x: x != "")
 
 
-def score_lines(lines: DataFrame, least: float = LEAST) -> DataFrame:
+def score_lines(lines: DataFrame, least: float = LEAST, body: str = "line") -> DataFrame:
     """lines (line, n): distinct candidate lines and how often they occur -> (line, license_id, cosine) of those that match."""
     spark = lines.sparkSession
     templates = spark.createDataFrame(TEMPLATES, "license_id string, statement string")
+    return _score(lines, templates, len(TEMPLATES), least, body)
+
+
+def score_blocks(blocks: DataFrame, least: float = LEAST) -> DataFrame:
+    """blocks (line: a key, n, body): the same with BLOCKS, of which each is a template of its own."""
+    numbered = [(f"{i:03d}", text) for i, (_, text) in enumerate(BLOCKS)]
+    scored = _score(blocks, blocks.sparkSession.createDataFrame(numbered, "license_id string, statement string"), len(BLOCKS), least, "body")
+    names = F.array(*[F.lit(name) for name, _ in BLOCKS])
+    return scored.withColumn("license_id", F.element_at(names, F.col("license_id").cast("int") + 1))
+
+
+def _score(lines: DataFrame, templates: DataFrame, how_many: int, least: float, body: str) -> DataFrame:
     t_tokens = templates.select("license_id", F.explode(_tokens(F.col("statement"))).alias("token")).groupBy("license_id", "token").agg(F.count(F.lit(1)).alias("tf"))
-    l_tokens = lines.select("line", "n", F.explode(_tokens(F.col("line"))).alias("token")).groupBy("line", "n", "token").agg(F.count(F.lit(1)).alias("tf"))
+    l_tokens = lines.select("line", "n", F.explode(_tokens(F.col(body))).alias("token")).groupBy("line", "n", "token").agg(F.count(F.lit(1)).alias("tf"))
     df = l_tokens.select("token", "n").unionByName(t_tokens.select("token", F.lit(1).cast("long").alias("n"))).groupBy("token").agg(F.sum("n").alias("df"))
-    total = lines.agg((F.coalesce(F.sum("n"), F.lit(0)) + len(TEMPLATES)).alias("total"))  # one row
+    total = lines.agg((F.coalesce(F.sum("n"), F.lit(0)) + how_many).alias("total"))  # one row
     idf = df.crossJoin(F.broadcast(total)).select("token", (F.log((1 + F.col("total")) / (1 + F.col("df"))) + 1).alias("idf"))
     t_weighed = t_tokens.join(idf, "token").select("license_id", "token", (F.col("tf") * F.col("idf")).alias("tw"))
     t_norm = t_weighed.groupBy("license_id").agg(F.sqrt(F.sum(F.col("tw") * F.col("tw"))).alias("tn"))
@@ -64,15 +130,44 @@ def score_lines(lines: DataFrame, least: float = LEAST) -> DataFrame:
     return best.select("line", "b.license_id", (-F.col("b.c")).alias("cosine"))
 
 
+def _blocks(named: DataFrame) -> DataFrame:
+    """named (doc_id, path, every: lines) -> doc_id, path, key, body: each distinct block of a file that may hold a licence text."""
+    every, size = F.col("every"), F.size("every")
+    blank = lambda x: x.rlike(BLANK)
+    join = lambda a: F.array_join(a, " ")
+    # a paragraph runs from a line after a blank one to the next blank one
+    starts = F.filter(F.sequence(F.lit(1), size), lambda i: ~blank(F.element_at(every, i)) & ((i == 1) | blank(F.element_at(every, F.greatest(i - 1, F.lit(1))))))
+    ends = F.filter(F.sequence(F.lit(1), size), lambda i: ~blank(F.element_at(every, i)) & ((i == size) | blank(F.element_at(every, F.least(i + 1, size)))))
+    cut = named.filter("every IS NOT NULL").select("doc_id", "path", "every", F.arrays_zip(starts.alias("a"), ends.alias("b")).alias("spans"), F.coalesce(F.nullif(F.array_position(F.transform(every, lambda x: x.rlike(COMMENT)), F.lit(False)), F.lit(0)) - 1, size.cast("long")).cast("int").alias("opening"))
+    runs = F.flatten(F.transform(F.sequence(F.lit(1), size), lambda i: F.transform(F.sequence(F.lit(1), F.least(F.lit(WRAP), size - i + 1)), lambda n: join(F.slice(every, i, n)))))
+    paragraphs = F.transform("spans", lambda s: join(F.slice(every, s["a"], s["b"] - s["a"] + 1)))
+    all_of = F.concat(F.array(join(every), join(F.slice(every, 1, F.col("opening")))), paragraphs, runs)
+    bodies = F.filter(all_of, lambda x: F.translate(x, UPPER, LOWER).rlike(BLOCK_CANDIDATE))
+    out = cut.select("doc_id", "path", F.explode(F.array_distinct(bodies)).alias("body"))
+    return out.select("doc_id", "path", F.sha1("body").alias("key"), "body")
+
+
+def _tags(named: DataFrame) -> DataFrame:
+    """SPDX tags: (line, doc_id, path, license_id, cosine); GNU ids lose -only, -or-later and +, as templates have them."""
+    lines = named.select("doc_id", "path", F.explode("lines").alias("line"))
+    tag = lines.select("line", "doc_id", "path", F.regexp_replace(F.regexp_extract("line", "(?i)" + SPDX, 1), r"(?i)(?:-only|-or-later|\+)$", "").alias("id")).filter("id <> ''")
+    known = sorted({name for name, _ in BLOCKS})
+    named_as = F.coalesce(*[F.when(F.lower("id") == name.lower(), F.lit(name)) for name in known], F.col("id"))
+    return tag.select("line", "doc_id", "path", named_as.alias("license_id"), F.lit(1.0).alias("cosine"))
+
+
 def license_scan(files: DataFrame, least: float = LEAST) -> DataFrame:
     """files (doc_id, path, text) -> doc_id, path, license_id, cosine (of its own line, else null), declared_in (the directory or path)."""
     rows = files.select(one_of(files, "doc_id").cast("long").alias("doc_id"), F.coalesce(one_of(files, "path"), F.lit("")).alias("path"), one_of(files, "text").cast("string").alias("text"))
-    named = rows.select("doc_id", "path", F.when(F.translate("text", UPPER, LOWER).rlike(CANDIDATE), F.array_distinct(F.filter(F.split("text", "\n"), lambda x: F.translate(x, UPPER, LOWER).rlike(CANDIDATE)))).alias("lines"))
+    named = rows.select("doc_id", "path", F.when(F.translate("text", UPPER, LOWER).rlike(CANDIDATE), F.array_distinct(F.filter(F.split("text", "\n"), lambda x: F.translate(x, UPPER, LOWER).rlike(CANDIDATE)))).alias("lines"), F.when(F.translate("text", UPPER, LOWER).rlike(BLOCK_CANDIDATE), F.split("text", "\n")).alias("every"))
     # read below more than once: without this table every reading would scan the texts
     named = settle(named.withColumn("dir", F.regexp_extract("path", r"^(.*)/[^/]*$", 1)), "license-lines")
     occur = named.select("doc_id", "path", F.explode("lines").alias("line"))
     scored = score_lines(occur.groupBy("line").agg(F.count(F.lit(1)).alias("n")), least)
-    own = occur.join(scored, "line").groupBy("doc_id", "path").agg(F.min(F.struct((-F.col("cosine")).alias("c"), "license_id")).alias("b")).select("doc_id", "path", F.col("b.license_id").alias("own_license"), (-F.col("b.c")).alias("cosine"))
+    blocks = settle(_blocks(named), "license-blocks")
+    distinct = blocks.groupBy(F.col("key").alias("line")).agg(F.count(F.lit(1)).alias("n"), F.first("body").alias("body"))
+    found = occur.join(scored, "line").unionByName(blocks.select("doc_id", "path", F.col("key").alias("line")).join(score_blocks(distinct, least), "line")).unionByName(_tags(named))
+    own = found.groupBy("doc_id", "path").agg(F.min(F.struct((-F.col("cosine")).alias("c"), "license_id")).alias("b")).select("doc_id", "path", F.col("b.license_id").alias("own_license"), (-F.col("b.c")).alias("cosine"))
     files_own = named.select("doc_id", "path", "dir").join(own, ["doc_id", "path"], "left")
     votes = files_own.filter("own_license IS NOT NULL").groupBy("dir", "own_license").agg(F.count(F.lit(1)).alias("n"))
     declared = votes.groupBy("dir").agg(F.min(F.struct((-F.col("n")).alias("n"), "own_license")).alias("b")).select(F.col("dir").alias("above"), F.col("b.own_license").alias("dir_license"))

@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from mailgrove.llm import charlm, neardup
+from mailgrove.llm import charlm, licenses, neardup
 
 KIND = "doc_id long, text string"
 
@@ -84,3 +84,51 @@ def test_models_keep_every_gram(spark):
             assert sorted(counts["n"][pick].tolist()) == sorted(n for (size, _, of), n in want.items() if (size, of) == (k, label))
     model = charlm.build(counts, order, 2, shared=False)
     assert [len(x) for x in model.keys] == [len({g for size, g, _ in want if size == k}) for k in range(1, order + 1)]
+
+
+APACHE = """/*
+ * Copyright 2024 Some Body
+ *
+ * Licensed under the Apache License, Version 2.0 (the "License");
+ * you may not use this file except in compliance with the License.
+ * You may obtain a copy of the License at
+ *
+ *     http://www.apache.org/licenses/LICENSE-2.0
+ */
+int main(void) { return 0; }
+"""
+GPL = """# This program is free software: you can redistribute it and/or modify
+# it under the terms of the GNU General Public License as published by
+# the Free Software Foundation, either version 3 of the License, or
+# (at your option) any later version.
+import os
+"""
+MIT = """Copyright (c) 2024 Some Body
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+"""
+ISC = """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+"""
+GPL_FILE = """                    GNU GENERAL PUBLIC LICENSE
+                       Version 3, 29 June 2007
+
+  The GNU General Public License is a free, copyleft license for
+software and other kinds of works.
+"""
+
+
+def test_licences_in_headers_files_and_tags(spark):
+    texts = {1: APACHE, 2: GPL, 3: MIT, 4: ISC, 5: GPL_FILE, 6: "MIT License\n\nCopyright (c) 2024", 7: "// SPDX-License-Identifier: MIT\nint x;", 8: "# SPDX-License-Identifier: GPL-2.0-or-later", 9: "some words\nReleased under the\nMIT License.\nmore words of prose follow here", 10: "as is well known, rivers run to the sea\nand need no general public", 11: "", 12: None}
+    files = spark.createDataFrame([(i, f"d{i}/f", t) for i, t in texts.items()], "doc_id long, path string, text string")
+    got = {r["doc_id"]: r["license_id"] for r in licenses.license_scan(files).collect()}
+    assert got == {1: "Apache-2.0", 2: "GPL-3.0", 3: "MIT", 4: "ISC", 5: "GPL-3.0", 6: "MIT", 7: "MIT", 8: "GPL-2.0", 9: "MIT", 10: None, 11: None, 12: None}
