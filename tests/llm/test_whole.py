@@ -132,3 +132,11 @@ def test_licences_in_headers_files_and_tags(spark):
     files = spark.createDataFrame([(i, f"d{i}/f", t) for i, t in texts.items()], "doc_id long, path string, text string")
     got = {r["doc_id"]: r["license_id"] for r in licenses.license_scan(files).collect()}
     assert got == {1: "Apache-2.0", 2: "GPL-3.0", 3: "MIT", 4: "ISC", 5: "GPL-3.0", 6: "MIT", 7: "MIT", 8: "GPL-2.0", 9: "MIT", 10: None, 11: None, 12: None}
+
+
+def test_licence_is_inherited_over_levels(spark):
+    """The nearest licensed directory upwards counts, over one, two and three levels."""
+    mit, apache = "Released under the MIT License.", "Licensed under the Apache License, Version 2.0."
+    rows = [(1, "a/one", mit), (2, "a/b/two", "words"), (3, "a/b/c/three", "words"), (4, "a/b/c/d/four", "words"), (5, "a/x/five", apache), (6, "a/x/y/z/six", "words"), (7, "q/r/seven", "words")]
+    got = {r["doc_id"]: (r["license_id"], r["declared_in"]) for r in licenses.license_scan(spark.createDataFrame(rows, "doc_id long, path string, text string")).collect()}
+    assert got == {1: ("MIT", "a/one"), 2: ("MIT", "a"), 3: ("MIT", "a"), 4: ("MIT", "a"), 5: ("Apache-2.0", "a/x/five"), 6: ("Apache-2.0", "a/x"), 7: (None, None)}
