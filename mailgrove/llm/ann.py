@@ -5,10 +5,13 @@ best-bin-first: a priority queue holds tree nodes by their centre's inner produc
 query, and the leaves it takes out are visited. How many leaves a query visits is widened
 until calibration queries, compared with brute force over all rows, reach the target recall.
 
-Defined cases: a vector that is null, zero or holds null or non-finite components, or has
-another length than most, takes no part; the query's own row is no candidate, another row with
-the same id is; fewer candidates than k are all returned; ties go to the smaller id; a null
-vec_id is never a query; an empty table gives an empty result; extra columns are ignored.
+Inner products are taken of a query with the members of the leaves it visits and of no others.
+
+Defined cases: a vector that is null, zero or holds null or non-finite components takes no part;
+vectors of one length are searched among themselves; the query's own row is no candidate,
+another row with the same id is, equal to it or not; a query row that occurs twice is two
+queries; fewer candidates than k are all returned; ties go to the smaller id, null ids first; a
+null vec_id is never a query; an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -22,11 +25,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from mailgrove.llm.shared import settle
-from mailgrove.llm.vectors import by_cell, kmeans, matrix, meet, nearest, sample, valid
+from mailgrove.llm.shared import settle, unsettle
+from mailgrove.llm.vectors import by_cell, kmeans, lengths, matrix, meet, nearest, numbered_rows, sample, spans
 
 #: Children of a node; queries for calibration; the recall they must reach, above what is asked for, for safety.
-BRANCH, CALIBRATION, RECALL, MAX_LEAVES = 8, 256, 0.97, 4096
+BRANCH, CALIBRATION, RECALL = 8, 256, 0.97
+#: Stands for a null id.
+NO_ID = -(1 << 63)
 
 
 class Tree:
@@ -83,67 +88,65 @@ class Tree:
         return out
 
 
-def top(ids: np.ndarray, own: np.ndarray, vec: np.ndarray, cells, m_ids, m_own, m_cells, m_vec, k: int):
-    """Each query's k nearest of a group's members among the cells it visits: (query rows, member rows, scores)."""
-    q_rows, m_rows, scores = [], [], []
-    order = np.argsort(m_cells, kind="stable")
-    m_cells, m_ids, m_vec, m_own = m_cells[order], m_ids[order], m_vec[order], m_own[order]
-    present, first = np.unique(m_cells, return_index=True)
-    slot = {int(c): i for i, c in enumerate(present)}
-    size = np.diff(np.append(first, len(m_cells)))
-    for at in range(0, len(ids), 128):
-        some = slice(at, min(at + 128, len(ids)))
-        seen = np.zeros((some.stop - at, len(present)), bool)
-        for r, c in by_cell(cells[some]).items():
-            if r in slot:
-                seen[c, slot[r]] = True
-        near = vec[some] @ m_vec.T
-        near[~np.repeat(seen, size, axis=1)] = -np.inf
-        for i in range(near.shape[0]):
-            row = near[i]
-            row[(m_ids == ids[at + i]) & (m_own == own[at + i])] = -np.inf
-            n = min(k, len(row))
-            least = np.partition(row, len(row) - n)[len(row) - n]
-            pick = np.flatnonzero((row >= least - 1e-9) & (row > -np.inf))
-            exact = (vec[at + i] * m_vec[pick]).sum(axis=1)  # the same sum for equal vectors
-            best = np.lexsort((m_ids[pick], -exact))[:k]
-            q_rows.append(np.full(len(best), at + i))
-            m_rows.append(m_ids[pick][best])
-            scores.append(exact[best])
-    cat = lambda parts, kind: np.concatenate(parts).astype(kind) if parts else np.zeros(0, kind)
-    return cat(q_rows, np.int64), cat(m_rows, np.int64), cat(scores, np.float64)
+class Best:
+    """The members of a bin, cells in order; a call gives each query's k nearest among the cells it visits."""
+
+    def __init__(self, k: int, rows: np.ndarray, ids: np.ndarray, cells: np.ndarray, vec: np.ndarray):
+        self.k, self.rows, self.ids, self.vec, self.at = k, rows, ids, vec, spans(cells)
+
+    def __call__(self, rows, ids, vec, cells) -> pa.RecordBatch:
+        asked, found, scores = [], [], []
+        for at in range(0, len(rows), 128):
+            some = slice(at, min(at + 128, len(rows)))
+            near = np.full((some.stop - at, len(self.rows)), -np.inf)
+            for cell, who in by_cell(cells[some]).items():
+                if cell in self.at:
+                    near[who, self.at[cell]] = vec[some][who] @ self.vec[self.at[cell]].T
+            for i, row in enumerate(near):
+                row[self.rows == rows[at + i]] = -np.inf
+                n = min(self.k, len(row))
+                least = np.partition(row, len(row) - n)[len(row) - n]
+                pick = np.flatnonzero((row >= least - 1e-9) & (row > -np.inf))
+                exact = (vec[at + i] * self.vec[pick]).sum(axis=1)  # the same sum for equal vectors
+                best = np.lexsort((self.ids[pick], -exact))[: self.k]
+                asked.append(np.full(len(best), at + i))
+                found.append(self.ids[pick][best])
+                scores.append(exact[best])
+        q = np.concatenate(asked) if asked else np.zeros(0, np.int64)
+        cat = lambda parts, kind: np.concatenate(parts).astype(kind) if parts else np.zeros(0, kind)
+        return pa.RecordBatch.from_arrays([pa.array(rows[q]), pa.array(ids[q]), pa.array(cat(found, np.int64)), pa.array(cat(scores, np.float64))], ["row", "query_id", "vec_id", "score"])
 
 
 def _ranked(found: DataFrame, k: int) -> DataFrame:
-    order = Window.partitionBy("query_id", "own").orderBy(F.desc("score"), "vec_id")
+    order = Window.partitionBy("row").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
 def calibrate(tree: Tree, indexed: DataFrame, some: list, k: int, target: float) -> int:
-    """Leaves to visit so that the queries `some` (id, own, vec) find `target` of their true neighbours.
+    """Leaves to visit so that the queries `some` (row, vec) find `target` of their true neighbours.
 
     Brute force in one pass over all rows: each task keeps the best k of each of its queries.
     """
-    ids, own, vecs = np.array([r[0] for r in some]), np.array([r[1] for r in some]), np.array([r[2] for r in some])
+    own, vecs = np.array([r[0] for r in some]), np.array([r[1] for r in some])
 
     def run(batches):
         kept: dict[int, list] = {}
         for batch in batches:
-            m_ids, m_own, cell, m = batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2).to_numpy(), matrix(batch.column(3))
+            rows, ids, cell, m = batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2).to_numpy(), matrix(batch.column(3))
             near = vecs @ m.T
-            for i in range(len(ids)):
-                near[i][(m_ids == ids[i]) & (m_own == own[i])] = -np.inf
+            for i in range(len(own)):
+                near[i][rows == own[i]] = -np.inf
                 best = np.argpartition(-near[i], min(k, len(m) - 1))[:k]
-                held = kept.setdefault(i, []) + [(float(near[i][b]), -int(m_ids[b]), int(cell[b])) for b in best if near[i][b] > -np.inf]
+                held = kept.setdefault(i, []) + [(float(near[i][b]), -int(ids[b]), int(cell[b])) for b in best if near[i][b] > -np.inf]
                 kept[i] = heapq.nlargest(k, held)
         rows = [(i, -v, c, s) for i, held in kept.items() for s, v, c in held]
         cols = list(zip(*rows, strict=True)) or [[]] * 4
-        yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array([0] * len(rows), pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int32()), pa.array(cols[3], pa.float64())], ["query_id", "own", "vec_id", "cell", "score"])
+        yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int32()), pa.array(cols[3], pa.float64())], ["row", "vec_id", "cell", "score"])
 
-    true = _ranked(indexed.select("id", "weight", "cell", "vec").mapInArrow(run, "query_id long, own long, vec_id long, cell int, score double"), k)
+    true = _ranked(indexed.select("id", "weight", "cell", "vec").mapInArrow(run, "row long, vec_id long, cell int, score double"), k)
     cells: dict[int, list] = {}
-    for r in true.select("query_id", "cell").collect():  # at most k rows a calibration query
-        cells.setdefault(r["query_id"], []).append(r["cell"])
+    for r in true.select("row", "cell").collect():  # at most k rows a calibration query
+        cells.setdefault(r["row"], []).append(r["cell"])
     places, order = [], tree.visits(vecs, tree.n_leaves)
     for i, some_cells in cells.items():
         rank = {c: j for j, c in enumerate(order[i])}
@@ -154,38 +157,40 @@ def calibrate(tree: Tree, indexed: DataFrame, some: list, k: int, target: float)
     return int(places[min(len(places) - 1, math.ceil(target * len(places)) - 1)]) + 1
 
 
+RESULT = "query_id long, rank int, vec_id long, score double"
+
+
 def search(vectors: DataFrame, is_query, k: int = 20, target: float = RECALL) -> DataFrame:
     """Rows (query_id, rank, vec_id, score): each query's k nearest by inner product. is_query: a condition on vec_id."""
-    rows = valid(vectors)
-    spark = rows.sparkSession
-    fitted = sample(rows)
-    schema = "query_id long, own long, vec_id long, score double"
-    if not len(fitted):
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    n = rows.count()
-    tree = Tree(fitted, min(MAX_LEAVES, max(1, round(math.sqrt(n) / 2))))
-    shared = spark.sparkContext.broadcast(tree)  # bounded by MAX_LEAVES
+    rows = numbered_rows(vectors)
+    out = vectors.sparkSession.createDataFrame([], RESULT)
+    for d in lengths(rows):
+        if (found := _search(rows.filter((F.col("d") == d) & F.col("vec").isNotNull()), is_query, k, target)) is not None:
+            out = out.unionByName(found)
+    return out
+
+
+def _search(rows: DataFrame, is_query, k: int, target: float) -> DataFrame | None:
+    asked = rows.filter(F.col("vec_id").isNotNull()).filter(is_query(F.col("vec_id")))
+    some = [tuple(r) for r in asked.select("row", "vec").orderBy(F.xxhash64("vec_id"), "row").limit(CALIBRATION).collect()]
+    if not some:
+        return None
+    leaves = max(1, round(math.sqrt(rows.count()) / 2))
+    tree = Tree(sample(rows, leaves), leaves)
+    shared = rows.sparkSession.sparkContext.broadcast(tree)  # grows with the root of the rows
 
     def place(batches):
         for batch in batches:
             leaf = shared.value.assign(matrix(batch.column(2))) if batch.num_rows else np.zeros(0)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(leaf, pa.int32()), batch.column(2)], ["id", "weight", "cell", "vec"])
 
-    # weight tells rows that share an id apart
-    named = rows.select(F.coalesce("vec_id", F.lit(-(1 << 63))).alias("id"), F.xxhash64("vec").alias("weight"), "vec")
+    named = rows.select(F.col("row").alias("id"), F.coalesce("vec_id", F.lit(NO_ID)).alias("weight"), "vec")
     indexed = settle(named.mapInArrow(place, "id long, weight long, cell int, vec array<double>"), "ann-index")
-    asked = indexed.filter(F.col("id") > -(1 << 63)).filter(is_query(F.col("id")))
-    some = [tuple(r) for r in asked.select("id", "weight", "vec").orderBy(F.xxhash64("id"), "id", "weight").limit(CALIBRATION).collect()]
-    if not some:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     count = calibrate(tree, indexed, some, k, target)
-
-    def handle(ids, own, vec, cells, m_ids, m_own, m_cells, m_vec):
-        q, m, s = top(ids, own, vec, cells, m_ids, m_own, m_cells, m_vec, k)
-        return pa.RecordBatch.from_arrays([pa.array(ids[q]), pa.array(own[q]), pa.array(m), pa.array(s)], ["query_id", "own", "vec_id", "score"])
-
-    found = meet(indexed, asked.select("id", "weight", "vec"), lambda x: shared.value.visits(x, count), handle, schema)
-    return _ranked(found, k).select("query_id", F.col("rank").cast("int").alias("rank"), F.when(F.col("vec_id") > -(1 << 63), F.col("vec_id")).alias("vec_id"), "score")
+    queries = asked.select(F.col("row").alias("id"), F.col("vec_id").alias("weight"), "vec")
+    found = meet(indexed, queries, lambda x: shared.value.visits(x, count), lambda *members: Best(k, *members), "row long, query_id long, vec_id long, score double")
+    unsettle(indexed)
+    return _ranked(found, k).select("query_id", F.col("rank").cast("int").alias("rank"), F.when(F.col("vec_id") > NO_ID, F.col("vec_id")).alias("vec_id"), "score")
 
 
 def op5_tree_search(spark, sf_dir):

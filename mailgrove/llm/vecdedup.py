@@ -1,15 +1,16 @@
 """Embedding near-duplicates by product quantisation (operator 9).
 
 Equal vectors are one class. Class vectors, scaled to length one, go to inverted lists around
-coarse centres; their residuals are coded in subspaces. Each vector probes every list that can
-hold a partner: a vector within the distance that the cosine allows can't lie beyond the plane
-between two centres by more than that distance, so no link is lost. In a list, distances come
-from lookup tables of the probing vector; a coded vector whose distance, less its own coding
-error, is still too large can't be a partner. The rest is checked by exact cosine in doubles.
-Links are counted where they are found and only a spanning forest of each group is sent on.
-
-Defined cases: a vector that is null, zero or holds null or non-finite components, or has
-another length than most, has no links and is its own component; equal vectors are linked; a
+coarse centres; their residuals are coded in subspaces. Each vector probes its own list and those
+whose plane to its own is no farther than the margin: the farthest that partners at exactly the
+wanted cosine, in random directions and as found in the sample, were seen to cross, and a tenth
+more. In a list, distances come from lookup tables of the probing vector; a coded vector whose
+distance, less its own coding error, is still too large can't be a partner. Only the others
+are compared by exact cosine in doubles. Links are counted where they are found and only a
+spanning forest of each group is sent on.
+
+Defined cases: a vector that is null, zero or holds null or non-finite components has no links
+and is its own component; vectors of one length link among themselves; equal vectors are linked; a
 null vec_id has a null component_id if alone; repeated rows count as vectors of their own; an
 empty table gives an empty result; extra columns are ignored.
 """
@@ -23,123 +24,153 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mailgrove.llm.shared import components, one_of, settle
-from mailgrove.llm.vectors import by_cell, kmeans, matrix, meet, nearest, sample, valid
+from mailgrove.llm.shared import components, settle, unsettle
+from mailgrove.llm.vectors import by_cell, kmeans, lengths, matrix, meet, nearest, numbered_rows, sample, spans
 
-#: Coarse lists; codes of a subspace; components of a subspace.
-MAX_LISTS, CODES, SUBSPACE = 1024, 256, 8
+#: Codes of a subspace; components of a subspace; rows and directions that the margin is measured on; pairs compared exactly at once.
+CODES, SUBSPACE, TRIED, DIRECTIONS, PAIRS = 256, 8, 1024, 16, 1 << 16
+
+
+def _unit(x: np.ndarray) -> np.ndarray:
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
 class Quantiser:
-    def __init__(self, x: np.ndarray, lists: int):
-        x = x / np.linalg.norm(x, axis=1, keepdims=True)
+    def __init__(self, x: np.ndarray, lists: int, cosine: float):
+        x = _unit(x)
+        self.cosine, self.reach = cosine, math.sqrt(2 - 2 * cosine) + 1e-6
         self.centres = kmeans(x, lists)
         rest = x - self.centres[nearest(x, self.centres)]
         d = x.shape[1]
         self.parts = [slice(i, min(i + SUBSPACE, d)) for i in range(0, d, SUBSPACE)]
         self.books = [kmeans(rest[:, p], CODES, seed=11 + i, rounds=6) for i, p in enumerate(self.parts)]
-        self.between = np.sqrt(np.maximum(((self.centres[:, None] - self.centres[None]) ** 2).sum(axis=2), 0))
+        self.margin = min(self.reach, 1.1 * self._crossed(x[:TRIED]))
+
+    def _beyond(self, x: np.ndarray) -> np.ndarray:
+        """How far each row would have to move straight to the plane that parts its own list from each other."""
+        square = np.maximum((x**2).sum(axis=1)[:, None] - 2 * x @ self.centres.T + (self.centres**2).sum(axis=1), 0)
+        own = square.argmin(axis=1)
+        mine = self.centres[own]
+        between = np.sqrt(np.maximum((mine**2).sum(axis=1)[:, None] - 2 * mine @ self.centres.T + (self.centres**2).sum(axis=1), 1e-18))
+        out = (square - square[np.arange(len(x)), own][:, None]) / (2 * between)
+        out[np.arange(len(x)), own] = 0
+        return out
+
+    def _crossed(self, x: np.ndarray) -> float:
+        """The farthest plane between the lists of partners."""
+        beyond, rng, most = self._beyond(x), np.random.default_rng(23), 0.0
+        for _ in range(DIRECTIONS):
+            v = rng.normal(size=x.shape)
+            v -= (v * x).sum(axis=1, keepdims=True) * x
+            norm = np.linalg.norm(v, axis=1, keepdims=True)
+            partner = _unit(self.cosine * x + math.sqrt(1 - self.cosine**2) * v / np.maximum(norm, 1e-12))
+            most = max(most, float(beyond[np.arange(len(x)), nearest(partner, self.centres)].max(initial=0)))
+        a, b = np.nonzero(x @ x.T >= self.cosine)
+        return max(most, float(beyond[a, nearest(x, self.centres)[b]].max(initial=0)))
 
     def encode(self, x: np.ndarray, cell: np.ndarray):
-        """(codes [n, parts], coding error [n]) of unit vectors in their lists."""
+        """(codes [parts, n], coding error [n]) of unit vectors in their lists."""
         rest = x - self.centres[cell]
-        codes = np.stack([nearest(rest[:, p], b) for p, b in zip(self.parts, self.books, strict=True)], axis=1)
-        error = np.sqrt(sum(((rest[:, p] - b[codes[:, i]]) ** 2).sum(axis=1) for i, (p, b) in enumerate(zip(self.parts, self.books, strict=True))))
+        codes = np.stack([nearest(rest[:, p], b) for p, b in zip(self.parts, self.books, strict=True)])
+        error = np.sqrt(sum(((rest[:, p] - b[codes[i]]) ** 2).sum(axis=1) for i, (p, b) in enumerate(zip(self.parts, self.books, strict=True))))
         return codes, error
 
     def tables(self, x: np.ndarray, cell: int) -> list[np.ndarray]:
         """For each subspace, squared distances of the probing vectors' residuals to every code."""
         rest = x - self.centres[cell]
-        return [np.maximum((rest[:, p] ** 2).sum(axis=1)[:, None] - 2 * rest[:, p] @ b.T + (b**2).sum(axis=1), 0) for p, b in zip(self.parts, self.books, strict=True)]
-
-    def probes(self, x: np.ndarray, reach: float) -> list[list[int]]:
-        """The lists that can hold a unit vector within `reach` of each row."""
-        square = np.maximum((x**2).sum(axis=1)[:, None] - 2 * x @ self.centres.T + (self.centres**2).sum(axis=1), 0)
-        own = square.argmin(axis=1)
-        beyond = square - square[np.arange(len(x)), own][:, None]
-        near = beyond <= 2 * reach * self.between[own] + 1e-9
-        return [np.flatnonzero(r).tolist() for r in near]
-
-
-def _links(q: Quantiser, reach: float, cosine: float):
-    """The handler of one group: counts of links and a spanning forest (edges a, b), as rows (a, b, n)."""
-
-    def handle(ids, weights, vec, cells, m_ids, m_weights, m_cells, m_vec):
-        unit = vec / np.linalg.norm(vec, axis=1, keepdims=True)
-        m_unit = m_vec / np.linalg.norm(m_vec, axis=1, keepdims=True)
-        counted = np.zeros(len(ids), np.int64)
-        edges = []
+        return [np.maximum((rest[:, p] ** 2).sum(axis=1)[:, None] - 2 * rest[:, p] @ b.T + (b**2).sum(axis=1), 0).astype(np.float32) for p, b in zip(self.parts, self.books, strict=True)]
+
+    def probes(self, x: np.ndarray) -> list[list[int]]:
+        """The lists that each row probes."""
+        return [np.flatnonzero(r).tolist() for r in self._beyond(_unit(x)) <= self.margin + 1e-9]
+
+
+class Links:
+    """The members of a bin, lists in order; a call counts the links of queries and gives a spanning forest (edges a, b), as rows (a, b, n)."""
+
+    def __init__(self, q: Quantiser, ids: np.ndarray, weights: np.ndarray, cells: np.ndarray, vec: np.ndarray):
+        self.q, self.ids, self.weights, self.vec, self.unit = q, ids, weights, vec, _unit(vec)
+        self.at, self.root = spans(cells), np.arange(len(ids))
+        self.codes, error = q.encode(self.unit, cells)
+        self.bound = ((q.reach + error) ** 2 + 1e-4).astype(np.float32)  # beyond it, no partner; float32 tables
+
+    def _survivors(self, unit: np.ndarray, cell: int):
+        """(query, member) pairs of a list that the codes can't rule out."""
+        mine = self.at[cell]
+        square = np.zeros((len(unit), mine.stop - mine.start), np.float32)
+        one = np.empty_like(square)
+        for table, codes in zip(self.q.tables(unit, cell), self.codes, strict=True):
+            square += np.take(table, codes[mine], axis=1, out=one, mode="clip")
+        i, j = np.nonzero(square <= self.bound[mine])
+        return i, j + mine.start
+
+    def __call__(self, ids, weights, vec, cells) -> pa.RecordBatch:
+        unit, counted, edges = _unit(vec), np.zeros(len(ids), np.int64), []
         for cell, rows in by_cell(cells).items():
-            mine = np.flatnonzero(m_cells == cell)
-            if not len(mine):
+            if cell not in self.at:
                 continue
-            codes, error = q.encode(m_unit[mine], m_cells[mine])
-            root = np.arange(len(mine))
             for at in range(0, len(rows), 256):
                 some = rows[at : at + 256]
-                tables = q.tables(unit[some], cell)
-                square = sum(t[:, codes[:, i]] for i, t in enumerate(tables))
-                near = np.sqrt(square) - error[None] <= reach + 1e-6
-                active = near.any(axis=1)
-                if not active.any():
-                    continue
-                some, near = some[active], near[active]
-                exact = unit[some] @ m_unit[mine].T
-                close = near & (np.abs(exact - cosine) < 1e-12)
-                hit = near & (exact >= cosine)
-                for i, j in zip(*np.nonzero(close), strict=True):  # the same sum wherever the pair is met
-                    a, b = vec[some[i]], m_vec[mine[j]]
-                    hit[i, j] = (a * b).sum() / math.sqrt((a * a).sum() * (b * b).sum()) >= cosine
-                hit &= ids[some][:, None] != m_ids[mine][None]
-                counted[some] += hit @ m_weights[mine]
-                for i in np.flatnonzero(hit.any(axis=1)):
-                    met = np.unique(root[hit[i]])
-                    edges += [(ids[some[i]], m_ids[mine[r]]) for r in met]
-                    if len(met) > 1:
-                        root[np.isin(root, met)] = met[0]
+                i, j = self._survivors(unit[some], cell)
+                for k in range(0, len(i), PAIRS):
+                    a, b = some[i[k : k + PAIRS]], j[k : k + PAIRS]
+                    exact = np.einsum("ij,ij->i", unit[a], self.unit[b])
+                    hit = exact >= self.q.cosine
+                    for e in np.flatnonzero(np.abs(exact - self.q.cosine) < 1e-12):  # the same sum wherever the pair is met
+                        x, y = vec[a[e]], self.vec[b[e]]
+                        hit[e] = (x * y).sum() / math.sqrt((x * x).sum() * (y * y).sum()) >= self.q.cosine
+                    hit &= ids[a] != self.ids[b]
+                    a, b = a[hit], b[hit]
+                    np.add.at(counted, a, self.weights[b])
+                    if not len(a):
+                        continue
+                    starts = np.flatnonzero(np.concatenate(([True], a[1:] != a[:-1])))
+                    for s, e in zip(starts, [*starts[1:], len(a)], strict=True):
+                        met = np.unique(self.root[b[s:e]])
+                        edges += [(ids[a[s]], self.ids[r]) for r in met]
+                        if len(met) > 1:
+                            self.root[np.isin(self.root, met)] = met[0]
         a = np.concatenate([ids, np.array([e[0] for e in edges], np.int64)])
         b = np.concatenate([ids, np.array([e[1] for e in edges], np.int64)])
         n = np.concatenate([counted, np.zeros(len(edges), np.int64)])
         keep = (n > 0) | (a != b)
         return pa.RecordBatch.from_arrays([pa.array(a[keep]), pa.array(b[keep]), pa.array(n[keep])], ["a", "b", "n"])
 
-    return handle
+
+RESULT = "vec_id long, n_links long, component_id long"
 
 
 def near_duplicates(vectors: DataFrame, cosine: float = 0.9) -> DataFrame:
     """One row per vector: vec_id, n_links, component_id."""
-    rows = valid(vectors)
+    rows = numbered_rows(vectors).select("vec_id", "vec", "d", F.xxhash64("vec").alias("h1"), F.xxhash64("vec", F.lit(1)).alias("h2"))
+    out = rows.filter("vec IS NULL").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
+    for d in lengths(rows):
+        out = out.unionByName(_linked(rows.filter((F.col("d") == d) & F.col("vec").isNotNull()), cosine))
+    return out
+
+
+def _linked(rows: DataFrame, cosine: float) -> DataFrame:
+    """near_duplicates of valid vectors of one length; 128 bits of hashes stand for a vector in joins."""
     spark = rows.sparkSession
-    # equal vectors; a class is named by a number of its own, its members' ids may be null or repeated
-    classes = settle(rows.groupBy("vec").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("weight")).withColumn("id", F.monotonically_increasing_id()), "vector-classes")
-    everyone = vectors.select(one_of(vectors, "vec_id").cast("long").alias("vec_id"), one_of(vectors, "embedding").cast("array<double>").alias("vec"))
-    fitted = sample(classes.select("vec", F.col("id").alias("vec_id")))
-    if not len(fitted):
-        return everyone.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
-    count = classes.count()
-    shared = spark.sparkContext.broadcast(Quantiser(fitted, min(MAX_LISTS, max(1, round(math.sqrt(count) / 2)))))  # bounded by MAX_LISTS and CODES
-    reach = math.sqrt(2 - 2 * cosine) + 1e-6
+    # a class is named by a number of its own, its members' ids may be null or repeated
+    classes = settle(rows.groupBy("h1", "h2").agg(F.first("vec").alias("vec"), F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("weight")).withColumn("id", F.monotonically_increasing_id()), "vector-classes")
+    lists = max(1, round(math.sqrt(classes.count()) / 2))
+    shared = spark.sparkContext.broadcast(Quantiser(sample(classes.select("vec", F.col("id").alias("row")), lists), lists, cosine))  # grows with the root of the rows
 
     def place(batches):
         for batch in batches:
-            x = matrix(batch.column(2))
-            cell = nearest(x / np.linalg.norm(x, axis=1, keepdims=True), shared.value.centres) if len(x) else np.zeros(0)
+            cell = nearest(_unit(matrix(batch.column(2))), shared.value.centres) if batch.num_rows else np.zeros(0)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(cell, pa.int32()), batch.column(2)], ["id", "weight", "cell", "vec"])
 
-    def probe(x):
-        return shared.value.probes(x / np.linalg.norm(x, axis=1, keepdims=True), reach)
-
-    def handle(*group):
-        return _links(shared.value, reach, cosine)(*group)
-
     indexed = settle(classes.select("id", "weight", "vec").mapInArrow(place, "id long, weight long, cell int, vec array<double>"), "vector-lists")
-    found = settle(meet(indexed, indexed.select("id", "weight", "vec"), probe, handle, "a long, b long, n long"), "vector-links")
+    found = meet(indexed, indexed.select("id", "weight", "vec"), lambda x: shared.value.probes(x), lambda *members: Links(shared.value, *members), "a long, b long, n long")
+    unsettle(indexed)
     counts = found.groupBy(F.col("a").alias("id")).agg(F.sum("n").alias("n"))
     roots = components(found.filter("a <> b").select("a", "b")).select(F.col("node").alias("id"), "root")
-    known = classes.select("id", "vec", "rep", "weight").join(counts, "id", "left").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    known = classes.select("id", "h1", "h2", "rep", "weight").join(counts, "id", "left").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
     least = known.groupBy("root").agg(F.min("rep").alias("component_id"))
-    of = known.join(least, "root").select("vec", (F.col("weight") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"), "component_id")
-    return everyone.join(of, "vec", "left").select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id"))
+    of = known.join(least, "root").select("h1", "h2", (F.col("weight") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"), "component_id")
+    return rows.join(of, ["h1", "h2"]).select("vec_id", "n_links", F.coalesce("component_id", "vec_id").alias("component_id"))
 
 
 def op9_embedding_near_dedup(spark, sf_dir):
