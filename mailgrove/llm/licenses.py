@@ -5,14 +5,16 @@ compared with the templates: a token's weight is its count times ln((1 + N) / (1
 N and df counted over all candidate lines and the templates. In the same way, and with weights
 of their own, the blocks of every text with a word of licence texts are compared with BLOCKS:
 the whole text, the comment block it opens with, its paragraphs, and one to WRAP lines in a row
-(statements that are wrapped). An SPDX tag declares its first licence with a cosine of 1. A
-file's licence is that of its best line, block or tag with a cosine of at least `least`. A directory's licence is the one most of its own
+(statements that are wrapped), of the last three those that hold such a word. An SPDX tag
+declares its first licence with a cosine of 1. A file's licence is that of its best line, block
+or tag with a cosine of at least `least`. A directory's licence is the one most of its own
 licensed files declare (ties: the first in alphabetical order). A file without a licence of its
 own takes that of its nearest licensed directory upwards, found by joins of directory paths.
 
-Defined cases: a null or empty text declares nothing; a null path is in the root directory;
-ties between templates go to the first license_id; repeated rows are repeated and each count for
-their directory; an empty table gives an empty result; extra columns are ignored.
+Defined cases: a null or empty text declares nothing; a null path is in the root directory; every
+row is a file of its own, whatever ids and paths it shares with others or has null; ties between
+templates go to the first license_id; repeated rows are repeated and each count for their
+directory; an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mailgrove.llm.shared import one_of, settle
+from mailgrove.llm.shared import pick, settle
 
 # Usual short statements of licences (license_id, statement).
 TEMPLATES = [
@@ -37,7 +39,7 @@ TEMPLATES = [
     ("MIT", "Released under the MIT License."),
     ("MPL-2.0", "This source code is subject to the terms of the Mozilla Public License, version 2.0."),
 ]
-#: A line without one of these can't come near a template (fixed values).
+#: Lines without one of these words are no candidates (fixed values).
 CANDIDATE = r"licen[sc]e|licen[sc]ed|public domain|spdx"
 #: Headings, headers, opening paragraphs and full texts (license_id, text); one id may have several.
 _GNU = "This {what} is free software; you can redistribute it and/or modify it under the terms of the GNU {name}General Public License as published by the Free Software Foundation; either version {version} of the License, or (at your option) any later version."
@@ -83,8 +85,8 @@ BLOCKS = [
     ("MPL-2.0", "Mozilla Public License Version 2.0"),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
 ]
-#: A block without one of these can't come near one of BLOCKS.
-BLOCK_CANDIDATE = CANDIDATE + r"|permission (?:is hereby|to use)|redistribut|creative\s+commons|cc0|as is|general\s+public|hereby\s+granted"
+#: Blocks without one of these words are no candidates.
+BLOCK_CANDIDATE = CANDIDATE + r"|permission\s+(?:is\s+hereby|to\s+use)|redistribut|creative\s+commons|cc0|as\s+is|general\s+public|hereby\s+granted|public\s+domain"
 #: Lines that are blank but for comment marks part paragraphs; the opening comment block ends at a line without a mark.
 BLANK, COMMENT = r"^[\s#*/;%!<>-]*$", r"^\s*(?:#|/\*|\*|//|;|--|%|<!--|$)"
 SPDX = r"spdx-license-identifier:[\s(]*([a-z0-9][a-z0-9.+-]*)"
@@ -130,45 +132,67 @@ def _score(lines: DataFrame, templates: DataFrame, how_many: int, least: float,
     return best.select("line", "b.license_id", (-F.col("b.c")).alias("cosine"))
 
 
+def _marked(every):
+    """Numbers of the lines in or at whose end a word of licence texts begins, from 1."""
+    near = lambda i: F.translate(F.concat_ws(" ", F.element_at(every, i), F.element_at(every, F.least(i + 1, F.size(every)))), UPPER, LOWER)
+    return F.filter(F.sequence(F.lit(1), F.size(every)), lambda i: near(i).rlike(BLOCK_CANDIDATE))
+
+
 def _blocks(named: DataFrame) -> DataFrame:
-    """named (doc_id, path, every: lines) -> doc_id, path, key, body: each distinct block of a file that may hold a licence text."""
+    """named (row, every: lines, blank: of each line, marked, opening) -> row, key, body: each distinct block of a file that may hold a licence text."""
     every, size = F.col("every"), F.size("every")
-    blank = lambda x: x.rlike(BLANK)
+    blank = lambda i: F.element_at("blank", i)
     join = lambda a: F.array_join(a, " ")
     # a paragraph runs from a line after a blank one to the next blank one
-    starts = F.filter(F.sequence(F.lit(1), size), lambda i: ~blank(F.element_at(every, i)) & ((i == 1) | blank(F.element_at(every, F.greatest(i - 1, F.lit(1))))))
-    ends = F.filter(F.sequence(F.lit(1), size), lambda i: ~blank(F.element_at(every, i)) & ((i == size) | blank(F.element_at(every, F.least(i + 1, size)))))
-    cut = named.filter("every IS NOT NULL").select("doc_id", "path", "every", F.arrays_zip(starts.alias("a"), ends.alias("b")).alias("spans"), F.coalesce(F.nullif(F.array_position(F.transform(every, lambda x: x.rlike(COMMENT)), F.lit(False)), F.lit(0)) - 1, size.cast("long")).cast("int").alias("opening"))
-    runs = F.flatten(F.transform(F.sequence(F.lit(1), size), lambda i: F.transform(F.sequence(F.lit(1), F.least(F.lit(WRAP), size - i + 1)), lambda n: join(F.slice(every, i, n)))))
-    paragraphs = F.transform("spans", lambda s: join(F.slice(every, s["a"], s["b"] - s["a"] + 1)))
-    all_of = F.concat(F.array(join(every), join(F.slice(every, 1, F.col("opening")))), paragraphs, runs)
-    bodies = F.filter(all_of, lambda x: F.translate(x, UPPER, LOWER).rlike(BLOCK_CANDIDATE))
-    out = cut.select("doc_id", "path", F.explode(F.array_distinct(bodies)).alias("body"))
-    return out.select("doc_id", "path", F.sha1("body").alias("key"), "body")
+    starts = F.filter(F.sequence(F.lit(1), size), lambda i: ~blank(i) & ((i == 1) | blank(F.greatest(i - 1, F.lit(1)))))
+    ends = F.filter(F.sequence(F.lit(1), size), lambda i: ~blank(i) & ((i == size) | blank(F.least(i + 1, size))))
+    spans = F.filter(F.arrays_zip(starts.alias("a"), ends.alias("b")), lambda s: F.exists("marked", lambda j: (j >= s["a"]) & (j <= s["b"])))
+    paragraphs = F.transform(spans, lambda s: join(F.slice(every, s["a"], s["b"] - s["a"] + 1)))
+    # every run of at most WRAP lines that holds a marked one
+    from_line = lambda j, s: F.transform(F.sequence(j - s + 1, F.least(F.lit(WRAP), size - s + 1)), lambda n: F.struct(s.alias("s"), n.alias("n")))
+    runs = F.array_distinct(F.flatten(F.transform("marked", lambda j: F.flatten(F.transform(F.sequence(F.greatest(j - WRAP + 1, F.lit(1)), j), lambda s: from_line(j, s))))))
+    wrapped = F.transform(runs, lambda w: join(F.slice(every, w["s"], w["n"])))
+    opening = F.when(F.exists("marked", lambda j: j <= F.col("opening")), F.array(join(F.slice(every, 1, F.col("opening"))))).otherwise(F.array().cast("array<string>"))
+    out = named.filter("size(marked) > 0").select("row", F.explode(F.array_distinct(F.concat(F.array(join(every)), opening, paragraphs, wrapped))).alias("body"))
+    return out.select("row", F.sha1("body").alias("key"), "body")
 
 
 def _tags(named: DataFrame) -> DataFrame:
-    """SPDX tags: (line, doc_id, path, license_id, cosine); GNU ids lose -only, -or-later and +, as templates have them."""
-    lines = named.select("doc_id", "path", F.explode("lines").alias("line"))
-    tag = lines.select("line", "doc_id", "path", F.regexp_replace(F.regexp_extract("line", "(?i)" + SPDX, 1), r"(?i)(?:-only|-or-later|\+)$", "").alias("id")).filter("id <> ''")
+    """SPDX tags: (line, row, license_id, cosine); GNU ids lose -only, -or-later and +, as templates have them."""
+    lines = named.select("row", F.explode("lines").alias("line"))
+    tag = lines.select("line", "row", F.regexp_replace(F.regexp_extract("line", "(?i)" + SPDX, 1), r"(?i)(?:-only|-or-later|\+)$", "").alias("id")).filter("id <> ''")
     known = sorted({name for name, _ in BLOCKS})
     named_as = F.coalesce(*[F.when(F.lower("id") == name.lower(), F.lit(name)) for name in known], F.col("id"))
-    return tag.select("line", "doc_id", "path", named_as.alias("license_id"), F.lit(1.0).alias("cosine"))
+    return tag.select("line", "row", named_as.alias("license_id"), F.lit(1.0).alias("cosine"))
 
 
 def license_scan(files: DataFrame, least: float = LEAST) -> DataFrame:
     """files (doc_id, path, text) -> doc_id, path, license_id, cosine (of its own line, else null), declared_in (the directory or path)."""
-    rows = files.select(one_of(files, "doc_id").cast("long").alias("doc_id"), F.coalesce(one_of(files, "path"), F.lit("")).alias("path"), one_of(files, "text").cast("string").alias("text"))
-    named = rows.select("doc_id", "path", F.when(F.translate("text", UPPER, LOWER).rlike(CANDIDATE), F.array_distinct(F.filter(F.split("text", "\n"), lambda x: F.translate(x, UPPER, LOWER).rlike(CANDIDATE)))).alias("lines"), F.when(F.translate("text", UPPER, LOWER).rlike(BLOCK_CANDIDATE), F.split("text", "\n")).alias("every"))
+    rows = pick(files, doc_id="long", path="string", text="string").withColumn("path", F.coalesce("path", F.lit("")))
+    low = F.translate("text", UPPER, LOWER)
+    every = F.split("text", "\n")
+    opening = F.coalesce(F.nullif(F.array_position(F.transform(every, lambda x: x.rlike(COMMENT)), F.lit(False)), F.lit(0)) - 1, F.size(every).cast("long")).cast("int")
+    lines = F.array_distinct(F.filter(every, lambda x: F.translate(x, UPPER, LOWER).rlike(CANDIDATE)))
+    may = low.rlike(BLOCK_CANDIDATE)
     # read below more than once: without this table every reading would scan the texts
-    named = settle(named.withColumn("dir", F.regexp_extract("path", r"^(.*)/[^/]*$", 1)), "license-lines")
-    occur = named.select("doc_id", "path", F.explode("lines").alias("line"))
+    named = settle(
+        rows.select(
+            F.monotonically_increasing_id().alias("row"),
+            "doc_id",
+            "path",
+            F.regexp_extract("path", r"^(.*)/[^/]*$", 1).alias("dir"),
+            F.when(may, F.struct(lines.alias("lines"), every.alias("every"), F.transform(every, lambda x: x.rlike(BLANK)).alias("blank"), _marked(every).alias("marked"), opening.alias("opening"))).alias("found"),
+        ),
+        "license-lines",
+    )
+    some = named.filter("found IS NOT NULL").select("row", "found.*")
+    occur = some.select("row", F.explode("lines").alias("line"))
     scored = score_lines(occur.groupBy("line").agg(F.count(F.lit(1)).alias("n")), least)
-    blocks = settle(_blocks(named), "license-blocks")
+    blocks = settle(_blocks(some), "license-blocks")
     distinct = blocks.groupBy(F.col("key").alias("line")).agg(F.count(F.lit(1)).alias("n"), F.first("body").alias("body"))
-    found = occur.join(scored, "line").unionByName(blocks.select("doc_id", "path", F.col("key").alias("line")).join(score_blocks(distinct, least), "line")).unionByName(_tags(named))
-    own = found.groupBy("doc_id", "path").agg(F.min(F.struct((-F.col("cosine")).alias("c"), "license_id")).alias("b")).select("doc_id", "path", F.col("b.license_id").alias("own_license"), (-F.col("b.c")).alias("cosine"))
-    files_own = named.select("doc_id", "path", "dir").join(own, ["doc_id", "path"], "left")
+    found = occur.join(scored, "line").unionByName(blocks.select("row", F.col("key").alias("line")).join(score_blocks(distinct, least), "line")).unionByName(_tags(some))
+    own = found.groupBy("row").agg(F.min(F.struct((-F.col("cosine")).alias("c"), "license_id")).alias("b")).select("row", F.col("b.license_id").alias("own_license"), (-F.col("b.c")).alias("cosine"))
+    files_own = settle(named.select("row", "doc_id", "path", "dir").join(own, "row", "left"), "license-own")
     votes = files_own.filter("own_license IS NOT NULL").groupBy("dir", "own_license").agg(F.count(F.lit(1)).alias("n"))
     declared = votes.groupBy("dir").agg(F.min(F.struct((-F.col("n")).alias("n"), "own_license")).alias("b")).select(F.col("dir").alias("above"), F.col("b.own_license").alias("dir_license"))
     # every directory that holds files, with each directory above it; nearest licensed one wins
