@@ -1,43 +1,61 @@
 """Interpolated Kneser-Ney character models in sorted hash arrays (used by operators 1 and 3).
 
-A text is lower-cased and cut at white space; of each piece only runs of letters count, and
-each run is a word scored by itself between boundary marks. Every distinct word of a batch is
-scored once, by array operations, and its score is summed over the documents that hold it.
-
-Counts are gathered from every training row: each task counts hashed n-grams of the distinct
-words it sees and Spark adds them up. Every n-gram is kept, whatever its count and label, so
-continuation counts and discounts are those of the whole training data. The driver builds the
-arrays and broadcasts them: they grow with the number of distinct n-grams.
+A text is lower-cased; each run of letters is a word scored by itself between boundary marks,
+and nothing else counts. Every distinct word of a batch is scored once, by array operations, and
+its score is summed over the documents that hold it.
+
+Nothing of a model passes through the driver. Tasks count words, Spark adds them up, and the
+n-grams of each distinct word are counted once; every n-gram is kept, whatever its count and
+label, so that continuation counts and discounts are those of the whole training data. The
+finished rows are dealt out by the first bits of their hash, and each part is written by a task
+as a file of sorted arrays in the shared folder, which workers map into memory. The driver only
+learns the files' names and sizes.
+
+With ct the count of gram g in context h (continuation counts below the top size), D the
+discount, and p of size 0 the uniform distribution over the known characters:
+    p(g) = max(ct(g) - D, 0) / ct(h .) + back(h) * p(g without its first character)
+    back(h) = sum of min(ct, D) over the grams of h / ct(h .), 1 for an unknown context
+Own models have all counts by label. Shared models have counts of all labels together at every
+size and, on top of the whole, each label's own counts of the top size, discounted in proportion
+to the label's share of all counts: labels differ only where their own counts do.
 """
 
 from __future__ import annotations
 
-import re
+import os
+import tempfile
 import uuid
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyarrow import fs
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from mailgrove.llm.shared import arrow_batches
+from mailgrove.llm.shared import Seen, arrow_batches, new_path, settle, unsettle
 
-LETTERS = re.compile(r"[^\W\d_]+")
+NO_LETTERS = r"\P{L}+"
 #: Boundary marks stand outside Unicode's range.
 OPEN, CLOSE = 0x110000, 0x110001
 MULT, MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
-#: Documents looked at together, so that memory doesn't grow with Arrow's batch size.
-DOCS = 1024
-GRAMS = "size int, gram long, context long, suffix long, label int, n long"
+#: Documents looked at together, so that memory doesn't grow with Arrow's batch size; words whose grams are held together.
+DOCS, WORDS = 1024, 20_000
+#: Rows of a part of a model, about.
+PART_ROWS = 1_000_000
+DISCOUNT, RARE = 0.75, 2.0
+#: What a model has for a gram: its discounted share, what its context of one more character leaves to smaller sizes, and both once more for the labels' own level.
+SHARE, BACK, OWN_SHARE, OWN_BACK = range(4)
+GRAMS = "size int, gram long, context long, tail long, tail_context long, label int, n long"
 
 
 def grams_of(words: list[str], order: int):
-    """Hashes of all n-grams of padded words: (lengths, [(positions valid for n, hash, context, suffix) for n = 1..order]).
+    """(lengths, scored, hashes): hashes[k][i] covers the k characters that end at place i, k = 0..order; scored marks the places that are no opening marks.
 
     Words open with order - 1 marks, which are context only, so that every character has a gram
-    of every length. hash[n][i] covers the n characters that end at i.
+    of every length.
     """
     pad = order - 1
     sizes = np.fromiter((len(w) + pad + 1 for w in words), np.int64, len(words))
@@ -52,245 +70,277 @@ def grams_of(words: list[str], order: int):
     place = np.arange(len(codes)) - np.repeat(ends - sizes, sizes)
     codes = (codes + np.uint64(1)) * MIX
     codes ^= codes >> np.uint64(29)
-    out, rolling = [], np.zeros(len(codes), np.uint64)
-    for n in range(1, order + 1):
-        before = np.empty_like(rolling)
-        before[0:1], before[1:] = 0, rolling[:-1]
-        context = before if n > 1 else np.zeros_like(rolling)
-        suffix, rolling = rolling, context * MULT + codes
+    hashes = [np.zeros(len(codes), np.uint64)]
+    for _ in range(order):
+        rolling = shifted(hashes[-1]) * MULT + codes
         rolling ^= rolling >> np.uint64(31)
-        out.append((place >= pad, rolling, context, suffix))
-    return sizes, out
+        hashes.append(rolling)
+    return sizes, place >= pad, hashes
+
+
+def shifted(x: np.ndarray) -> np.ndarray:
+    """x, one place later."""
+    out = np.zeros_like(x)
+    out[1:] = x[:-1]
+    return out
 
 
 def distinct_words(texts: pa.Array):
-    """(distinct pieces, piece index of each token, offsets of the documents) of lower-cased texts cut at white space."""
-    split = pc.utf8_split_whitespace(pc.utf8_lower(pc.fill_null(texts.cast(pa.large_string()), "")))
+    """(distinct words, word index of each token, offsets of the documents) of lower-cased texts; an empty word may stand at a text's ends."""
+    split = pc.split_pattern_regex(pc.utf8_lower(pc.fill_null(texts.cast(pa.large_string()), "")), NO_LETTERS)
     coded = pc.dictionary_encode(split.flatten())
     offsets = split.offsets.to_numpy()
-    return coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), offsets - offsets[0]
-
-
-def pieces_to_words(pieces: list[str]):
-    """(words, index of the piece of each word): the letter runs of each piece."""
-    words, owner = [], []
-    for i, piece in enumerate(pieces):
-        for w in (piece,) if piece.isalpha() else LETTERS.findall(piece):
-            words.append(w)
-            owner.append(i)
-    return words, np.array(owner, np.int64)
-
-
-class Seen:
-    """Numbers of the distinct pieces a worker has met, up to `cap`; `full` tells when to begin anew."""
+    return coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), (offsets - offsets[0]).astype(np.int64)
 
-    def __init__(self, cap: int = 600_000):
-        self.cap, self.index = cap, {}
 
-    def locate(self, pieces: list[str]) -> tuple[np.ndarray, list[str]]:
-        """(number of each piece, the pieces met for the first time in order of their numbers)."""
-        index, before = self.index, len(self.index)
-        at = np.fromiter((index.setdefault(p, len(index)) for p in pieces), np.int64, len(pieces))
-        return at, [p for p, i in zip(pieces, at.tolist(), strict=True) if i >= before]
+def count_words(rows: DataFrame, labels: int) -> DataFrame:
+    """rows (text, label int) -> (word, label, n) over all rows."""
 
-    @property
-    def full(self) -> bool:
-        return len(self.index) > self.cap
-
-
-def _gram_rows(pieces: list[str], counts: np.ndarray, order: int):
-    """Batches of GRAMS for pieces with counts [pieces, labels]."""
-    words, owner = pieces_to_words(pieces)
-    for at in range(0, len(words), 100_000):
-        some, mine = words[at : at + 100_000], counts[owner[at : at + 100_000]]
-        sizes, levels = grams_of(some, order)
-        word = np.repeat(np.arange(len(some)), sizes)
-        for k, (valid, gram, context, suffix) in enumerate(levels, 1):
-            keys, first, back = np.unique(gram[valid], return_index=True, return_inverse=True)
-            context, suffix = context[valid][first].view(np.int64), suffix[valid][first].view(np.int64)
-            of = word[valid]
-            for label in np.flatnonzero(mine.any(axis=0)).tolist():
-                n = np.bincount(back, mine[of, label], len(keys)).astype(np.int64)
-                has = np.flatnonzero(n)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(has), k, np.int32)), pa.array(keys[has].view(np.int64)), pa.array(context[has]), pa.array(suffix[has]), pa.array(np.full(len(has), label, np.int32)), pa.array(n[has])], ["size", "gram", "context", "suffix", "label", "n"]
-                )
-
-
-def count_grams(rows: DataFrame, order: int, labels: int) -> DataFrame:
-    """rows (text, label int) -> summed GRAMS over all rows; each task counts the grams of a distinct piece once."""
+    def made(seen, counts):
+        words, n = pa.array(list(seen.index), pa.string()), counts[: len(seen.index)].copy()
+        n[pc.equal(words, "").to_numpy(zero_copy_only=False)] = 0
+        for label in range(labels):
+            has = np.flatnonzero(n[:, label])
+            for at in range(0, len(has), 50_000):
+                some = has[at : at + 50_000]
+                yield pa.RecordBatch.from_arrays([words.take(pa.array(some)), pa.array(np.full(len(some), label, np.int32)), pa.array(n[some, label])], ["word", "label", "n"])
 
     def run(batches):
         seen, counts = Seen(), np.zeros((1 << 16, labels), np.int64)
         for batch in arrow_batches(batches, DOCS):
-            pieces, index, offsets = distinct_words(batch.column(0))
-            if not len(index):
-                continue
-            at, _ = seen.locate(pieces)
+            words, index, offsets = distinct_words(batch.column(0))
+            at, _ = seen.locate(words)
             while len(seen.index) > len(counts):
                 counts = np.concatenate([counts, np.zeros_like(counts)])
             label = np.repeat(batch.column(1).to_numpy(), np.diff(offsets)).astype(np.int64)
-            cell, n = np.unique(at[index] * labels + label, return_counts=True)
-            counts.reshape(-1)[cell] += n
+            cell = np.bincount(index * labels + label, minlength=len(words) * labels).reshape(-1, labels)
+            counts[at] += cell
             if seen.full:
-                yield from _gram_rows(list(seen.index), counts[: len(seen.index)], order)
+                yield from made(seen, counts)
                 seen, counts = Seen(), np.zeros((1 << 16, labels), np.int64)
-        if seen.index:
-            yield from _gram_rows(list(seen.index), counts[: len(seen.index)], order)
+        yield from made(seen, counts)
 
-    parts = rows.select("text", "label").mapInArrow(run, GRAMS)
-    return parts.groupBy("size", "gram", "context", "suffix", "label").agg(F.sum("n").alias("n"))
+    return rows.select("text", "label").mapInArrow(run, "word string, label int, n long").groupBy("word", "label").agg(F.sum("n").alias("n"))
 
 
-def collect_counts(counts: DataFrame) -> dict[str, np.ndarray]:
-    """All grams of all labels as arrays. Their number is that of the distinct grams of the training rows' words."""
-    got = counts.toArrow()
-    return {c: got.column(c).to_numpy() for c in got.column_names}
+def count_grams(words: DataFrame, order: int, labels: int) -> DataFrame:
+    """words (word, label, n) -> summed GRAMS of sizes 1 to order; tail is the gram without its first character."""
+    names = [x.split()[0] for x in GRAMS.split(", ")]
 
+    def run(batches):
+        for batch in arrow_batches(batches, WORDS):
+            label, n = batch.column(1).to_numpy(), batch.column(2).to_numpy()
+            sizes, scored, hashes = grams_of(batch.column(0).to_pylist(), order)
+            word = np.repeat(np.arange(len(sizes)), sizes)[scored]
+            nothing = np.zeros_like(hashes[0])
+            for k in range(1, order + 1):
+                tables = hashes[k], shifted(hashes[k - 1]), hashes[k - 1], shifted(hashes[k - 2]) if k > 1 else nothing
+                keys, first, back = np.unique(tables[0][scored], return_index=True, return_inverse=True)
+                columns = [x[scored][first].view(np.int64) for x in tables]
+                for one in np.unique(label).tolist():
+                    total = np.bincount(back, np.where(label[word] == one, n[word], 0), len(keys)).astype(np.int64)
+                    has = np.flatnonzero(total)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(has), k, np.int32)), *[pa.array(c[has]) for c in columns], pa.array(np.full(len(has), one, np.int32)), pa.array(total[has])], names)
+
+    return words.select("word", "label", "n").mapInArrow(run, GRAMS).groupBy(*names[:-1]).agg(F.sum("n").alias("n"))
+
+
+def shares(grams: DataFrame, order: int, labels: int, shared: bool) -> DataFrame:
+    """GRAMS -> rows (size, key, label, kind, value) of the finished model; label -1 stands for every label."""
+    one = F.lit(-1) if shared else F.col("label")
+    low = grams.filter("size > 1")
+    low = low.select("size", "gram", "tail", "tail_context", one.alias("label")).distinct() if shared else low
+    low = low.groupBy((F.col("size") - 1).alias("size"), F.col("tail").alias("gram"), F.col("tail_context").alias("context"), "label").agg(F.count(F.lit(1)).cast("double").alias("c"))
+    top = grams.filter(F.col("size") == order)
+    raw = top.groupBy("size", "gram", "context", one.alias("label")).agg(F.sum("n").cast("double").alias("c"))
+    rows = low.unionByName(raw).select("size", "gram", "context", "label", "c", F.lit(SHARE).alias("kind"), F.lit(DISCOUNT).alias("cut"))
+    if shared:
+        weigh = {r["label"]: r["n"] for r in top.groupBy("label").agg(F.sum("n").cast("double").alias("n")).collect()}  # one row a label
+        cuts = F.create_map(*[F.lit(x) for label, n in weigh.items() for x in (label, RARE * n / max(min(weigh.values()), 1.0))]) if weigh else F.create_map(F.lit(0), F.lit(1.0))
+        own = top.select("size", "gram", "context", "label", F.col("n").cast("double").alias("c"), F.lit(OWN_SHARE).alias("kind"), F.element_at(cuts, F.col("label")).alias("cut"))
+        rows = rows.unionByName(own)
+    context = Window.partitionBy("size", "context", "label", "kind")  # no more rows than there are characters
+    rows = rows.select("*", F.sum("c").over(context).alias("all"), F.sum(F.least("c", "cut")).over(context).alias("lost"), (F.row_number().over(context.orderBy("gram")) == 1).alias("first"))
+    share = F.struct("size", F.col("gram").alias("key"), "label", "kind", (F.greatest(F.col("c") - F.col("cut"), F.lit(0.0)) / F.col("all")).alias("value"))
+    back = F.struct((F.col("size") - 1).alias("size"), F.col("context").alias("key"), "label", (F.col("kind") + BACK).cast("int").alias("kind"), (F.col("lost") / F.col("all")).alias("value"))
+    return rows.select(F.explode(F.when(F.col("first"), F.array(share, back)).otherwise(F.array(share))).alias("r")).select("r.*")
+
+
+def write_model(rows: DataFrame, order: int, labels: int, shared: bool) -> Model:
+    """Write the rows of `shares` as files of sorted arrays, one a part."""
+    kinds = 4 if shared else 2
+    rows = settle(rows, "gram-shares")
+    count = rows.count()
+    bits = max(0, (count // PART_ROWS).bit_length())
+    folder = new_path(rows.sparkSession, "gram-model")
+    part = F.shiftrightunsigned(F.col("key"), 64 - bits).cast("int") if bits else F.lit(0)
+    placed = rows.withColumn("part", part).repartition(1 << bits, "part").sortWithinPartitions("part", "size", F.col("key") < 0, "key")  # keys are unsigned
 
-@dataclass
+    def run(batches):
+        task, now, tables = TaskContext.get(), None, {}
+
+        def finish():
+            where, inner = fs.FileSystem.from_uri(folder)
+            where.create_dir(inner)
+            name = f"part-{now:06d}-{task.taskAttemptId()}.grams"
+            counts = []
+            with where.open_output_stream(f"{inner}/{name}") as out:
+                for size in range(order + 1):
+                    some = tables.get(size, [])
+                    key, label, kind, value = (np.concatenate([x[i] for x in some]) if some else np.zeros(0, np.uint64) for i in range(4))
+                    keys = np.unique(key)
+                    values = np.zeros((len(keys), kinds, labels), np.float32)
+                    values[:, BACK::2] = 1.0
+                    at, kind = np.searchsorted(keys, key), kind.astype(np.int64)
+                    for one in range(labels):
+                        mine = (label == one) | (label == -1)
+                        values[at[mine], kind[mine], one] = value[mine]
+                    counts.append(len(keys))
+                    out.write(keys.tobytes())
+                    out.write(values.tobytes())
+            return pa.RecordBatch.from_pydict({"part": pa.array([now], pa.int32()), "path": [f"{folder}/{name}"], "counts": pa.array([counts], pa.list_(pa.int64()))})
+
+        for batch in batches:
+            parts, sizes = batch.column("part").to_numpy(), batch.column("size").to_numpy()
+            cell = parts.astype(np.int64) * (order + 1) + sizes
+            edges = [0, *(np.flatnonzero(np.diff(cell)) + 1).tolist(), len(cell)]
+            for a, b in zip(edges, edges[1:], strict=False):
+                if a == b:
+                    continue
+                if now is not None and now != parts[a]:
+                    yield finish()
+                    tables.clear()
+                now = int(parts[a])
+                columns = [batch.column(c).to_numpy()[a:b] for c in ("key", "label", "kind", "value")]
+                tables.setdefault(int(sizes[a]), []).append([columns[0].view(np.uint64), *columns[1:]])
+        if now is not None:
+            yield finish()
+
+    files = [tuple(r) for r in placed.mapInArrow(run, "part int, path string, counts array<long>").collect()]  # one row a part
+    unsettle(rows)
+    return Model(order, labels, kinds, bits, tuple((part, path, tuple(counts)) for part, path, counts in sorted(files)), uuid.uuid4().hex)
+
+
+@dataclass(frozen=True)
 class Model:
-    """Per size: sorted gram hashes, log-probabilities [grams, labels] and back-off weights [contexts, labels]."""
+    """Where a model's parts are: (part, path, grams of each size). Small, whatever the size of the model."""
 
     order: int
     labels: int
-    keys: list = field(default_factory=list)
-    logp: list = field(default_factory=list)
-    contexts: list = field(default_factory=list)
-    bow: list = field(default_factory=list)
-    floor: np.ndarray | None = None
-    name: str = field(default_factory=lambda: uuid.uuid4().hex)
+    kinds: int
+    bits: int
+    files: tuple
+    name: str
+
+    @property
+    def characters(self) -> int:
+        return sum(counts[1] for _, _, counts in self.files) + 1
+
+
+def fit_model(words: DataFrame, order: int, labels: int, shared: bool) -> Model:
+    """A model of words (word, label, n)."""
+    grams = settle(count_grams(words, order, labels), "grams")
+    model = write_model(shares(grams, order, labels, shared), order, labels, shared)
+    unsettle(grams)
+    return model
+
+
+def _mapped(path: str) -> np.ndarray:
+    """A file of the shared folder in memory that the system can take back: in place if it is a file here, else by an unnamed copy."""
+    where, inner = fs.FileSystem.from_uri(path)
+    if isinstance(where, fs.LocalFileSystem) or os.path.exists(inner):
+        return np.memmap(inner, np.uint8, "r")
+    with tempfile.TemporaryFile() as own, where.open_input_stream(inner) as f:
+        while block := f.read(1 << 22):
+            own.write(block)
+        own.flush()
+        return np.memmap(own, np.uint8, "r")
+
+
+class Mapped:
+    """A model as a worker sees it."""
+
+    def __init__(self, model: Model):
+        self.model, self.parts = model, {}
+        width = model.kinds * model.labels
+        for part, path, counts in model.files:
+            data, at, tables = _mapped(path), 0, []
+            for n in counts:
+                keys = data[at : at + 8 * n].view(np.uint64)
+                at += 8 * n
+                values = data[at : at + 4 * width * n].view(np.float32).reshape(n, model.kinds, model.labels)
+                at += 4 * width * n
+                tables.append((keys, values))
+            self.parts[part] = tables
+
+    def find(self, size: int, keys: np.ndarray) -> np.ndarray:
+        """[keys, kinds, labels]: what the model has for sorted distinct keys, its defaults for unknown ones."""
+        out = np.zeros((len(keys), self.model.kinds, self.model.labels), np.float32)
+        out[:, BACK::2] = 1.0
+        first = keys >> np.uint64(64 - self.model.bits) if self.model.bits else np.zeros(len(keys), np.uint64)
+        edges = np.searchsorted(first, np.arange((1 << self.model.bits) + 1, dtype=np.uint64))
+        for part, tables in self.parts.items():
+            a, b = edges[part], edges[part + 1]
+            known, values = tables[size]
+            if a == b or not len(known):
+                continue
+            at = np.minimum(np.searchsorted(known, keys[a:b]), len(known) - 1)
+            hit = known[at] == keys[a:b]
+            out[a:b][hit] = values[at[hit]]
+        return out
 
     def word_scores(self, words: list[str]):
         """(log-likelihood [words, labels], characters scored [words])."""
-        out = np.zeros((len(words), self.labels))
-        if not words:
-            return out, np.zeros(0)
-        sizes, levels = grams_of(words, self.order)
-        total = np.zeros((int(sizes.sum()), self.labels), np.float32)
-        scored = levels[0][0]
-        todo = np.flatnonzero(scored)
-        for k in range(self.order, 0, -1):
-            valid, gram, context, _ = levels[k - 1]
-            ok = valid[todo]
-            now, later = todo[ok], todo[~ok]
-            at = np.searchsorted(self.keys[k - 1], gram[now])
-            at[at == len(self.keys[k - 1])] = 0
-            hit = self.keys[k - 1][at] == gram[now] if len(self.keys[k - 1]) else np.zeros(len(now), bool)
-            total[now[hit]] += self.logp[k - 1][at[hit]]
-            miss = now[~hit]
-            if k > 1 and len(self.contexts[k - 1]):
-                c = np.searchsorted(self.contexts[k - 1], context[miss])
-                c[c == len(self.contexts[k - 1])] = 0
-                known = self.contexts[k - 1][c] == context[miss]
-                total[miss[known]] += self.bow[k - 1][c[known]]
-            if k == 1:
-                total[miss] += self.floor
-            todo = np.concatenate([miss, later]) if k > 1 else todo[:0]
-        ends = np.cumsum(sizes)
-        cs = np.concatenate([np.zeros((1, self.labels)), np.cumsum(total, axis=0, dtype=np.float64)])
-        return cs[ends] - cs[ends - sizes], (sizes - self.order + 1).astype(float)
-
-
-class Pieces:
-    """What is known of each distinct piece, computed once a worker: log-likelihoods [labels], characters, and one more number made by `extra`."""
-
-    def __init__(self, model: Model, extra=None):
-        self.model, self.extra = model, extra
+        order, labels = self.model.order, self.model.labels
+        out, chars = np.zeros((len(words), labels)), np.fromiter((len(w) + 1 for w in words), float, len(words))
+        for at in range(0, len(words), WORDS):
+            some = words[at : at + WORDS]
+            sizes, scored, hashes = grams_of(some, order)
+            p = np.full((len(scored), labels), 1.0 / self.model.characters)
+            own_back, before = None, None
+            for k in range(order + 1):
+                keys, back = np.unique(hashes[k], return_inverse=True)
+                found = self.find(k, keys)
+                if k:
+                    p = found[back, SHARE] + before * p
+                if k == order and self.model.kinds > 2:
+                    p = found[back, OWN_SHARE] + own_back * p
+                before = np.ones_like(p)
+                before[1:] = found[back[:-1], BACK]
+                if not k:
+                    before[:] = found[back, BACK]
+                if k == order - 1 and self.model.kinds > 2:
+                    own_back = np.ones_like(p)
+                    own_back[1:] = found[back[:-1], OWN_BACK]
+                    if not k:
+                        own_back[:] = found[back, OWN_BACK]
+            logs = np.log(np.maximum(p, 1e-12)) * scored[:, None]
+            out[at : at + len(some)] = np.add.reduceat(logs, np.cumsum(sizes) - sizes, axis=0)
+        return out, chars
+
+
+class Words:
+    """What is known of each distinct word, computed once a worker: log-likelihoods [labels] and characters."""
+
+    def __init__(self, model: Model):
+        self.model = Mapped(model)
         self._begin()
 
     def _begin(self):
-        self.seen, self.rows = Seen(), np.zeros((1 << 16, self.model.labels + 2))
+        self.seen, self.rows = Seen(300_000), np.zeros((1 << 14, self.model.model.labels + 1))
 
-    def lookup(self, pieces: list[str]) -> np.ndarray:
+    def lookup(self, words: list[str]) -> np.ndarray:
+        """[words, labels + 1]; an empty word has nothing."""
         if self.seen.full:
             self._begin()
-        at, fresh = self.seen.locate(pieces)
+        at, fresh = self.seen.locate(words)
         if fresh:
-            words, owner = pieces_to_words(fresh)
-            new = np.zeros((len(fresh), self.rows.shape[1]))
-            ll, chars = self.model.word_scores(words)
-            np.add.at(new[:, :-2], owner, ll)
-            np.add.at(new[:, -2], owner, chars)
-            if self.extra:
-                new[:, -1] = self.extra(len(fresh), owner, ll)
+            ll, chars = self.model.word_scores(fresh)
+            new = np.concatenate([ll, chars[:, None]], axis=1)
+            if "" in fresh:
+                new[fresh.index("")] = 0
             first = len(self.seen.index) - len(fresh)
             while len(self.seen.index) > len(self.rows):
                 self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
             self.rows[first : first + len(fresh)] = new
         return self.rows[at]
-
-
-def _group(keys: np.ndarray, values: np.ndarray, into: np.ndarray) -> np.ndarray:
-    """Sums of values by key, for the sorted keys `into`."""
-    at = np.searchsorted(into, keys)
-    at[at == len(into)] = 0
-    ok = into[at] == keys if len(into) else np.zeros(len(keys), bool)
-    out = np.zeros((len(into), *values.shape[1:]))
-    np.add.at(out, at[ok], values[ok])
-    return out
-
-
-def build(counts: dict[str, np.ndarray], order: int, labels: int, shared: bool, discount: float = 0.75, rare: float = 4.0) -> Model:
-    """Interpolated Kneser-Ney from collected counts.
-
-    Each label has its own counts at the top size; below it, continuation counts are its own too
-    (shared=False) or those of all labels together (shared=True), which also stand behind the
-    top size as one pooled model, so that labels differ only where their own counts do.
-    """
-    if len(counts["size"]) == 0:
-        return Model(order, labels, [np.zeros(0, np.uint64)] * order, [np.zeros((0, labels), np.float32)] * order, [np.zeros(0, np.uint64)] * order, [np.zeros((0, labels), np.float32)] * order, np.full(labels, -8.0, np.float32))
-    tables = []
-    for k in range(1, order + 1):
-        pick = counts["size"] == k
-        gram = counts["gram"][pick].view(np.uint64)
-        keys, first = np.unique(gram, return_index=True)
-        n = np.zeros((len(keys), labels))
-        np.add.at(n, (np.searchsorted(keys, gram), counts["label"][pick]), counts["n"][pick])
-        tables.append((keys, n, counts["context"][pick].view(np.uint64)[first], counts["suffix"][pick].view(np.uint64)[first]))
-    model = Model(order, labels)
-    vocabulary = len(tables[0][0]) + 1
-    lower_keys, lower = np.zeros(0, np.uint64), np.full((1, labels), 1.0 / vocabulary)
-    for k in range(1, order + 1):
-        keys, n, context, suffix = tables[k - 1]
-        if k < order:  # continuation counts: distinct characters before
-            above = tables[k]
-            seen = (above[1] > 0).astype(float)
-            c = _group(above[3], seen, keys)
-            if shared:
-                c = np.repeat(c.sum(axis=1, keepdims=True), labels, axis=1)
-        else:
-            c = n
-        contexts = np.unique(context)
-        if k > 1:
-            at = np.searchsorted(lower_keys, suffix)
-            at[at == len(lower_keys)] = 0
-            known = (lower_keys[at] == suffix)[:, None]
-            below = np.where(known, lower[at], lower.min(axis=0))
-        else:
-            below = np.repeat(lower, len(keys), axis=0)
-        if shared and k == order:
-            weigh = n.sum(axis=0)
-            passes = [(np.repeat(c.sum(axis=1, keepdims=True), labels, axis=1), discount), (c, rare * weigh / max(weigh.min(), 1.0))]
-        else:
-            passes = [(c, discount)]
-        for c, cut in passes:
-            total, lost = _group(context, c, contexts), _group(context, np.minimum(c, cut), contexts)
-            back = np.where(total > 0, lost / np.maximum(total, 1e-9), 1.0)
-            if k == 1:
-                back = np.maximum(back, 1e-6)
-            at = np.searchsorted(contexts, context)
-            p = np.where(total[at] > 0, np.maximum(c - cut, 0) / np.maximum(total[at], 1e-9), 0) + back[at] * below
-            below = p
-        if shared and k == order:  # an unseen gram backs off through both levels
-            pool = np.repeat(n.sum(axis=1, keepdims=True), labels, axis=1)
-            pt, pk = _group(context, pool, contexts), _group(context, (pool > 0).astype(float), contexts)
-            back = back * discount * np.minimum(pk, pt) / np.maximum(pt, 1e-9)
-        model.keys.append(keys)
-        model.logp.append(np.log(np.maximum(p, 1e-12)).astype(np.float32))
-        model.contexts.append(contexts)
-        model.bow.append(np.log(np.maximum(back, 1e-9)).astype(np.float32))
-        if k == 1:
-            model.floor = (model.bow[0][0] + np.log(1.0 / vocabulary)).astype(np.float32)
-        lower_keys, lower = keys, p
-    return model

@@ -1,17 +1,23 @@
 """Language identification by character Kneser-Ney models (operator 1).
 
 One model per learned language; the language of the lowest length-normalised cross-entropy
-wins (ties: the first in alphabetical order). Confidence and rejection are calibrated on
-training rows that were kept out of the counts.
-
-Defined cases: a null text, or one without letters, is `und` with score 0 and is rejected;
-a null lang teaches nothing; with no training rows every text is `und`; a single learned
-language is always predicted; repeated rows are repeated; an empty table gives an empty
-result; extra columns are ignored.
+wins (ties: the first in alphabetical order). Confidence and rejection are calibrated with a
+model that hasn't counted the calibration rows; then all training rows are counted. A text is
+rejected if its cross-entropy is beyond what all but `1 - KEEP` of the calibration rows of its
+length have: the limit is level + spread / root of the characters.
+
+Defined cases: a null text, or one without letters (\\p{L}), is `und` with score 0 and is
+rejected; a null lang teaches nothing; with no training rows every text is `und` and the stage
+rejects all; a single learned language is always predicted; with no calibration rows nothing
+with a letter is rejected; repeated rows are repeated; an empty table gives an empty result;
+extra columns are ignored.
 """
 
 from __future__ import annotations
 
+import math
+from typing import NamedTuple
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -19,15 +25,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mailgrove.llm import charlm
-from mailgrove.llm.shared import arrow_batches, one_of, pick
+from mailgrove.llm.shared import arrow_batches, keep_rows, pick, settle, unsettle, worker_state
 
 ORDER = 4
-#: Bounds of the fitted model: languages, rows the confidence is calibrated on.
-MAX_LANGUAGES, CALIBRATION_ROWS = 512, 4000
-#: Nats a character that a text may lie above the worst calibration row before it is rejected.
-SLACK = 1.0
-#: More slack for short texts, over the root of the characters.
-SHORT = 3.0
+#: Rows that confidence and rejection are calibrated on, at most: of one in APART texts, those with the least hash.
+CALIBRATION_ROWS, APART = 4000, 16
+#: Share of calibration rows within the limit of rejection, and nats a character added for safety.
+KEEP, SLACK = 0.995, 0.5
 
 
 def fold(doc_id, n: int):
@@ -36,22 +40,37 @@ def fold(doc_id, n: int):
 
 
 class Scorer:
-    """Cross-entropies of whole documents under every label."""
+    """Sums over whole documents of what is known of their words."""
 
     def __init__(self, model: charlm.Model):
-        self.pieces = charlm.Pieces(model, self.extra)
+        self.words = charlm.Words(model)
 
-    extra = None
+    @classmethod
+    def of(cls, model: charlm.Model) -> Scorer:
+        """One a worker, so that what it knows of words lasts from task to task."""
+        return worker_state((cls.__name__, model.name), lambda: cls(model))
 
     def documents(self, texts: pa.Array):
         """(log-likelihood [docs, labels], characters [docs])."""
-        pieces, index, offsets = charlm.distinct_words(texts)
-        known = self.pieces.lookup(pieces)[:, :-1]
+        words, index, offsets = charlm.distinct_words(texts)
+        known = self.words.lookup(words)
         sums = np.concatenate([np.zeros((1, known.shape[1])), np.cumsum(known[index], axis=0)])
         out = sums[offsets[1:]] - sums[offsets[:-1]]
         return out[:, :-1], out[:, -1]
 
 
+class Fitted(NamedTuple):
+    langs: list
+    model: charlm.Model | None
+    scale: float
+    level: float
+    spread: float
+
+    def limit(self, n: np.ndarray) -> np.ndarray:
+        """The most nats a character that a text of n characters may have."""
+        return self.level + self.spread / np.sqrt(np.maximum(n, 1))
+
+
 def _entropy(ll, n):
     return -ll / np.maximum(n, 1)[:, None]
 
@@ -62,87 +81,92 @@ def _confidence(entropy, n, scale):
     return 1.0 / np.exp(-np.minimum(gap, 700)).sum(axis=1)
 
 
-def fit(rows: DataFrame, order: int = ORDER):
-    """rows (doc_id, text, lang): the fitted (languages, model, scale, limit). All rows count, but for the calibration fold."""
+def _scored(rows: DataFrame, model: charlm.Model):
+    """rows (text, label) -> a table of ll, n, label on the driver; for bounded rows only."""
+
+    def run(batches):
+        for batch in arrow_batches(batches, charlm.DOCS):
+            ll, n = Scorer.of(model).documents(batch.column(0))
+            yield pa.RecordBatch.from_arrays([pa.FixedSizeListArray.from_arrays(pa.array(ll.reshape(-1)), model.labels).cast(pa.list_(pa.float64())), pa.array(n), batch.column(1)], ["ll", "n", "label"])
+
+    return rows.select("text", "label").mapInArrow(run, "ll array<double>, n double, label int").toPandas()
+
+
+def _calibrated(seen) -> tuple[float, float, float]:
+    """(scale of the confidence, level and spread of the limit)."""
+    seen = seen[seen["n"] > 0]
+    if not len(seen):
+        return 0.2, math.inf, 0.0
+    n = seen["n"].to_numpy()
+    entropy = _entropy(np.stack(seen["ll"]), n)
+    right = entropy.argmin(axis=1) == seen["label"].to_numpy()
+    grid = [0.01, 0.02, 0.05, 0.1, 0.2, 0.5, 1.0]
+    loss = [-np.mean(np.where(right, np.log(c), np.log1p(-np.minimum(c, 1 - 1e-9)))) for c in (_confidence(entropy, n, s) for s in grid)]
+    least = entropy.min(axis=1)
+    middle = float(np.median(least))
+    # chance alone moves a mean over n characters by spread / root(n); short texts have the wider limit
+    spread = 4 * float(np.median(np.abs(least - middle) * np.sqrt(n))) / 0.6745
+    level = float(np.quantile(least - spread / np.sqrt(n), KEEP, method="higher"))
+    return grid[int(np.argmin(loss))], max(level, middle) + SLACK, spread
+
+
+def fit(rows: DataFrame, order: int = ORDER) -> Fitted:
+    """rows (doc_id, text, lang): the fitted models. Every row counts."""
     known = rows.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    top = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()
-    langs = sorted(r["lang"] for r in top)
+    langs = sorted(r["lang"] for r in known.select("lang").distinct().collect())  # one row a language
     if not langs:
-        return [], None, 1.0, 0.0
+        return Fitted([], None, 1.0, 0.0, 0.0)
     label = F.array_position(F.array(*[F.lit(x) for x in langs]), F.col("lang")).cast("int") - 1
-    fitted = known.withColumn("label", label).filter("label >= 0")
-    apart = F.pmod(F.xxhash64("text"), F.lit(16)) == 0  # by text, so that copies stay on one side
-    counts = charlm.collect_counts(charlm.count_grams(fitted.filter(~apart), order, len(langs)))
-    model = charlm.build(counts, order, len(langs), shared=False)
-    held = fitted.filter(apart).orderBy(F.xxhash64("text", F.lit(1))).select("text", "label").limit(CALIBRATION_ROWS).toPandas()
-    scale, limit = 0.2, 1e9
-    if len(held):
-        ll, n = Scorer(model).documents(pa.array(held["text"]))
-        entropy = _entropy(ll, n)
-        ok = n > 0
-        right = entropy.argmin(axis=1) == held["label"].to_numpy()
-        if ok.any():
-            grid = [0.01, 0.02, 0.05, 0.1, 0.2, 0.5, 1.0]
-            loss = [-np.mean(np.where(right, np.log(c), np.log1p(-np.minimum(c, 1 - 1e-9)))[ok]) for c in (_confidence(entropy, n, s) for s in grid)]
-            scale, limit = grid[int(np.argmin(loss))], float(entropy.min(axis=1)[ok & right].max(initial=0)) + SLACK
-    return langs, model, scale, limit
-
-
-def predict(rows: DataFrame, fitted) -> DataFrame:
+    fitted = known.withColumn("label", label)
+    apart = F.pmod(F.xxhash64("text"), F.lit(APART)) == 0  # by text, so that copies stay on one side
+    sides = fitted.select("text", (F.col("label") * 2 + apart.cast("int")).alias("label"))
+    words = settle(charlm.count_words(sides, 2 * len(langs)).select("word", F.expr("label div 2").cast("int").alias("label"), (F.col("label") % 2).alias("apart"), "n"), "language-words")
+    some = fitted.filter(apart).select("text", "label").orderBy(F.xxhash64("text", F.lit(1)), "text", "label").limit(CALIBRATION_ROWS)
+    trial = charlm.fit_model(words.filter("apart = 0"), order, len(langs), shared=False)
+    scale, level, spread = _calibrated(_scored(some.repartition(16), trial))
+    model = charlm.fit_model(words.groupBy("word", "label").agg(F.sum("n").alias("n")), order, len(langs), shared=False)
+    unsettle(words)
+    return Fitted(langs, model, scale, level, spread)
+
+
+def judged(texts: pa.Array, fitted: Fitted):
+    """(index of the language, len(langs) for none; score; cross-entropy, nan for none; whether rejected) of each text."""
+    size, none = len(texts), len(fitted.langs)
+    if fitted.model is None:
+        return np.full(size, none), np.zeros(size), np.full(size, np.nan), np.ones(size, bool)
+    ll, n = Scorer.of(fitted.model).documents(texts)
+    entropy, some = _entropy(ll, n), n > 0
+    low = np.where(some, entropy.min(axis=1), np.nan)
+    return np.where(some, entropy.argmin(axis=1), none), np.where(some, _confidence(entropy, n, fitted.scale), 0.0), low, ~(low <= fitted.limit(n))
+
+
+def predict(rows: DataFrame, fitted: Fitted) -> DataFrame:
     """rows (doc_id, text) -> doc_id, lang_pred, score, cross_entropy, rejected."""
-    langs, model, scale, limit = fitted
-    model = rows.sparkSession.sparkContext.broadcast(model)  # all grams, MAX_LANGUAGES columns
-    names = np.array([*langs, "und"], dtype=object)
 
     def run(batches):
-        scorer = _scorer(model) if langs else None
+        names = np.array([*fitted.langs, "und"], dtype=object)
         for batch in arrow_batches(batches, charlm.DOCS):
-            size = batch.num_rows
-            best, score, low = np.full(size, len(langs)), np.zeros(size), np.full(size, np.nan)
-            if scorer:
-                ll, n = scorer.documents(batch.column(1))
-                entropy, some = _entropy(ll, n), n > 0
-                best = np.where(some, entropy.argmin(axis=1), best)
-                score = np.where(some, _confidence(entropy, n, scale), 0.0)
-                low = np.where(some, entropy.min(axis=1), np.nan)
-            rejected = ~(low <= limit + SHORT / np.sqrt(np.maximum(n, 1))) if scorer else np.ones(size, bool)
+            best, score, low, rejected = judged(batch.column(1), fitted)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names[best], pa.string()), pa.array(score), pa.array(low, from_pandas=True), pa.array(rejected)], ["doc_id", "lang_pred", "score", "cross_entropy", "rejected"])
 
     return rows.select("doc_id", "text").mapInArrow(run, "doc_id long, lang_pred string, score double, cross_entropy double, rejected boolean")
 
 
-_SCORERS: dict = {}
-
-
-def _scorer(shared, kind=Scorer):
-    """One scorer a worker and model, so that what it knows of pieces lasts from task to task."""
-    if (key := (kind, shared.value.name)) not in _SCORERS:
-        _SCORERS.clear()
-        _SCORERS[key] = kind(shared.value)
-    return _SCORERS[key]
-
-
 def training_rows(docs: DataFrame, folds: int = 4, held: int = 2) -> DataFrame:
     rows = pick(docs, doc_id="long", text="string", lang="string")
     return rows.filter(fold(F.col("doc_id"), folds) != held)
 
 
 def stage(docs: DataFrame) -> DataFrame:
-    """docs without the documents whose language is rejected; a null text is rejected."""
-    langs, model, scale, limit = fit(training_rows(docs))
-    if model is None:
-        return docs
-    model = docs.sparkSession.sparkContext.broadcast(model)
+    """docs without the documents whose language is rejected; with nothing learned, all are."""
+    fitted = fit(training_rows(docs))
 
     @F.pandas_udf("boolean")
     def keeps(text: pd.Series) -> pd.Series:
-        ok, scorer = [], _scorer(model)
-        for at in range(0, len(text), charlm.DOCS):
-            ll, n = scorer.documents(pa.array(text.iloc[at : at + charlm.DOCS], pa.string(), from_pandas=True))
-            ok.append((n > 0) & (_entropy(ll, n).min(axis=1) <= limit + SHORT / np.sqrt(np.maximum(n, 1))))
+        ok = [~judged(pa.array(text.iloc[at : at + charlm.DOCS], pa.string(), from_pandas=True), fitted)[3] for at in range(0, len(text), charlm.DOCS)]
         return pd.Series(np.concatenate(ok) if ok else [], dtype=bool)
 
-    return docs.filter(keeps(one_of(docs, "text").cast("string")))
+    return keep_rows(docs, lambda text: keeps(text.cast("string")), "text")
 
 
 def op1_language_id(spark, sf_dir):

@@ -7,18 +7,20 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import numpy as np
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-
 _OWN: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that spark.checkpoint.dir names; a temporary one of our own only where it is unset (local tests)."""
+    """The folder that spark.checkpoint.dir names. Unset, a temporary one of our own on a local master (tests); an error on a cluster, whose executors could not read it."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or _OWN.get(spark.sparkContext.applicationId)
     if not folder:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         folder = _OWN[spark.sparkContext.applicationId] = "file://" + tempfile.mkdtemp(prefix="mailgrove-")
     return folder.rstrip("/")
 
@@ -58,17 +60,29 @@ def unsettle(df: DataFrame) -> None:
         delete_path(df.sparkSession, path)
 
 
-def one_of(df: DataFrame, name: str) -> Column:
-    """The first column called `name`, whatever the case of other names or their number."""
-    found = [c for c in df.columns if c == name] or [c for c in df.columns if c.lower() == name.lower()]
+def place_of(df: DataFrame, name: str) -> int:
+    """The place of the first column called `name`, or else of the first whose name differs only in case."""
+    names = df.columns
+    found = [i for i, c in enumerate(names) if c == name] or [i for i, c in enumerate(names) if c.lower() == name.lower()]
     if not found:
-        raise ValueError(f"no column {name!r} in {df.columns}")
-    return F.col(f"`{found[0]}`")
+        raise ValueError(f"no column {name!r} in {names}")
+    return found[0]
+
+
+def numbered(df: DataFrame) -> DataFrame:
+    """df with its columns called _c0, _c1, ...: names that repeat or differ only in case can't clash."""
+    return df.toDF(*[f"_c{i}" for i in range(len(df.columns))])
 
 
 def pick(df: DataFrame, **kinds: str) -> DataFrame:
     """Only the named columns, cast; extra columns are never carried along, so their names can't clash."""
-    return df.select(*[one_of(df, name).cast(kind).alias(name) for name, kind in kinds.items()])
+    return numbered(df).select(*[F.col(f"_c{place_of(df, name)}").cast(kind).alias(name) for name, kind in kinds.items()])
+
+
+def keep_rows(df: DataFrame, condition, *names: str) -> DataFrame:
+    """The rows of df, with all its columns, for which condition(the named columns) holds."""
+    flat = numbered(df)
+    return flat.filter(condition(*[F.col(f"_c{place_of(df, name)}") for name in names])).toDF(*df.columns)
 
 
 def _stars(pairs: DataFrame) -> DataFrame:
@@ -113,6 +127,42 @@ def components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
     return now.select(F.col("hi").alias("node"), F.col("lo").alias("root")).union(roots)
 
 
+_WORKER: dict = {}
+
+
+def worker_state(key: tuple, make):
+    """make(), once a Python worker and key. Only the newest is kept, so that what one stage knows makes room for the next."""
+    if key not in _WORKER:
+        _WORKER.clear()
+        _WORKER[key] = make()
+    return _WORKER[key]
+
+
+def gather(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Places of all elements of slices (start, size), one slice after the other."""
+    ends = np.cumsum(sizes)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - ends + sizes, sizes)
+
+
+class Seen:
+    """Numbers of the distinct pieces a worker has met; `full` tells when to begin anew, by pieces and by their characters."""
+
+    def __init__(self, cap: int = 150_000, room: int = 16 << 20):
+        self.cap, self.room, self.held, self.index = cap, room, 0, {}
+
+    def locate(self, pieces: list[str]) -> tuple[np.ndarray, list[str]]:
+        """(number of each piece, the pieces met for the first time in order of their numbers)."""
+        index, before = self.index, len(self.index)
+        at = np.fromiter((index.setdefault(p, len(index)) for p in pieces), np.int64, len(pieces))
+        fresh = [p for p, i in zip(pieces, at.tolist(), strict=True) if i >= before] if len(index) > before else []
+        self.held += sum(map(len, fresh))
+        return at, fresh
+
+    @property
+    def full(self) -> bool:
+        return len(self.index) > self.cap or self.held > self.room
+
+
 def arrow_batches(batches: Iterator, rows: int) -> Iterator:
     """Re-slice Arrow batches to at most `rows` rows."""
     for batch in batches:
