@@ -6,6 +6,9 @@ number a word's place in the table of ids. The automaton is a set of flat arrays
 that Spark hands to every executor, where it is memory-mapped. Words outside it are merged by
 the vocabulary's ranks. The vocabulary file's kind is fixed: lower-casing BPE with word ends.
 
+Decoding knows ids only: each id's string comes from the vocabulary, and the strings of a text are
+joined by spaces, as the library does for a vocabulary without a decoder.
+
 Defined cases: a null text is empty and has no ids; special-token strings in a text become
 their ids, as in the library; repeated rows are repeated; an empty table gives an empty result;
 extra columns are ignored; a null doc_id stays null.
@@ -20,20 +23,21 @@ import json
 import re
 import unicodedata
 from collections import Counter
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mailgrove.llm.charlm import distinct_words
-from mailgrove.llm.shared import arrow_batches, new_path, pick
-from mailgrove.llm.tokens import ODD_SPACE, vocabulary
+from mailgrove.llm.shared import arrow_batches, new_path, pick, worker_state
+from mailgrove.llm.tokens import CACHE, ODD_SPACE, Table, joined, split, vocabulary
 
-#: Words compiled into the lexicon; documents whose words are counted together; pieces a worker keeps.
-LEXICON, SLICE, CACHE = 32_768, 4096, 600_000
+#: Words compiled into the lexicon; documents whose words are counted together.
+LEXICON, SLICE = 32_768, 4096
 #: The vocabulary's pattern for words (fixed value).
 WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\t-\r \x85\p{Z}\p{L}\p{N}]+")
 END = "</w>"
@@ -215,28 +219,26 @@ class Codec:
     """Encodes and decodes whole texts with a vocabulary and a lexicon."""
 
     def __init__(self, vocabulary: Vocabulary, lexicon: Lexicon | None):
-        self.v, self.lexicon, self.cache = vocabulary, lexicon, {}
-        self.token = {i: s.encode() for i, s in vocabulary.string.items()}
-
-    def _learn(self, pieces: list[str]) -> None:
-        """Fill the cache for pieces without white space: (ids, decoded)."""
-        cut = [WORDS.findall(self.v.normal(p)) for p in pieces]
-        words = list({w for c in cut for w in c})
-        known = dict(zip(words, self.lexicon.find([w.encode("utf-8", "surrogatepass") for w in words]) if self.lexicon else [None] * len(words), strict=True))
-        ids = {w: self.v.merge(w) if k is None else k.tolist() for w, k in known.items()}
-        for p, c in zip(pieces, cut, strict=True):
-            got = [i for w in c for i in ids[w]]
-            self.cache[p] = (np.array(got, "<u4").tobytes(), b" ".join([self.token[i] for i in got]))
-
-    def _parts(self, text: str):
-        """Pieces between white space, or None for texts that need care."""
-        if text.isascii():
-            odd = any(c in text for c in "\x1c\x1d\x1e\x1f")
-        else:
-            odd = ODD_SPACE.search(text) is not None
-        return None if odd or "<|" in text else text.split()
-
-    def _careful(self, text: str) -> tuple[bytes, bytes]:
+        self.v, self.lexicon, self.table, self.known = vocabulary, lexicon, Table(self._learn), {}
+        self.strings = pa.array([vocabulary.string.get(i, "") for i in range(max(vocabulary.string) + 1)], pa.large_string())
+
+    def _words(self, piece: str) -> list[str]:
+        return [piece.lower()] if piece.isascii() and piece.isalpha() else WORDS.findall(self.v.normal(piece))
+
+    def _learn(self, pieces: list[str]):
+        cut = [self._words(p) for p in pieces]
+        if len(self.known) > CACHE:  # words outlast the pieces they are met in: many pieces are a word and a mark
+            self.known.clear()
+        ids = self.known
+        words = [w for w in dict.fromkeys(chain.from_iterable(cut)) if w not in ids]
+        found = self.lexicon.find([w.encode("utf-8", "surrogatepass") for w in words]) if self.lexicon else [None] * len(words)
+        ids.update((w, self.v.merge(w) if k is None else k.tolist()) for w, k in zip(words, found, strict=True))
+        got = [ids[c[0]] if len(c) == 1 else [i for w in c for i in ids[w]] for c in cut]
+        size = np.fromiter(map(len, got), np.int64, len(got))
+        return size, np.fromiter(chain.from_iterable(got), np.uint32, int(size.sum()))
+
+    def _careful(self, text: str) -> np.ndarray:
+        """Ids of a text with special tokens or unusual white space."""
         ids, at = [], 0
         for m in [*self.v.at_special.finditer(text), None]:
             for w in WORDS.findall(self.v.normal(text[at : m.start() if m else len(text)])):
@@ -244,24 +246,20 @@ class Codec:
             if m:
                 ids.append(self.v.special[m[0]])
                 at = m.end()
-        return np.array(ids, "<u4").tobytes(), b" ".join([self.token[i] for i in ids])
-
-    def encode(self, texts: list[str | None]) -> list[tuple[bytes, bytes]]:
-        """(ids as little-endian unsigned 32-bit integers, decoded text in UTF-8) of each text."""
-        cut = [self._parts(t) if t else [] for t in texts]
-        new = {p for c in cut if c for p in c}.difference(self.cache)
-        if len(self.cache) + len(new) > CACHE:
-            self.cache.clear()
-            new = {p for c in cut if c for p in c}
-        self._learn(list(new))
-        get, out = self.cache.__getitem__, []
-        for t, c in zip(texts, cut, strict=True):
-            if c is None:
-                out.append(self._careful(t))
-            else:
-                pairs = [x for x in map(get, c) if x[0]]
-                out.append((b"".join([x[0] for x in pairs]), b" ".join([x[1] for x in pairs])))
-        return out
+        return np.array(ids, np.uint32)
+
+    def encode(self, texts: pa.Array):
+        """(ids of all texts in a row, offsets of the texts)."""
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        odd = pc.match_substring_regex(texts, ODD_SPACE + r"|<\|").to_numpy(zero_copy_only=False)
+        pieces, offsets = split(texts, odd, pc.utf8_split_whitespace)
+        whole = {i: self._careful(texts[i].as_py()) for i in np.flatnonzero(odd).tolist()}
+        return joined(*self.table.of(pieces), offsets, whole)
+
+    def decode(self, ids: np.ndarray, offsets: np.ndarray) -> pa.Array:
+        """The text of each document's ids."""
+        strings = self.strings.take(pa.array(ids.astype(np.int64)))
+        return pc.binary_join(pa.LargeListArray.from_arrays(pa.array(offsets, pa.int64()), strings), pa.scalar(" ", pa.large_string()))
 
 
 def word_counts(docs: DataFrame, path: str) -> DataFrame:
@@ -270,9 +268,9 @@ def word_counts(docs: DataFrame, path: str) -> DataFrame:
     def run(batches):
         v = Vocabulary(path)
         for batch in arrow_batches(batches, SLICE):
-            pieces, index, _ = distinct_words(batch.column(0))
+            pieces = pc.value_counts(pc.utf8_split_whitespace(pc.utf8_lower(pc.fill_null(batch.column(0).cast(pa.large_string()), ""))).flatten())
             total = Counter()
-            for p, n in zip(pieces, np.bincount(index, minlength=len(pieces)).tolist(), strict=True):
+            for p, n in zip(pieces.field("values").to_pylist(), pieces.field("counts").to_pylist(), strict=True):
                 for w in (p,) if p.isalpha() and p.isascii() else WORDS.findall(v.normal(p)):
                     total[w] += n
             some = [(w, n) for w, n in total.items() if n > 1 and len(w) <= 64]
@@ -299,22 +297,17 @@ def share_file(spark, data: bytes, name: str) -> str:
     return where.rpartition("/")[2]
 
 
-_CODECS: dict[tuple, Codec] = {}
-
-
 def _codec(path: str, local: str) -> Codec:
-    if (path, local) not in _CODECS:
-        _CODECS.clear()
-        _CODECS[path, local] = Codec(Vocabulary(path), Lexicon.mapped(SparkFiles.get(local)))
-    return _CODECS[path, local]
+    return worker_state(("codec", path, local), lambda: Codec(Vocabulary(path), Lexicon.mapped(SparkFiles.get(local))))
 
 
 def encode_documents(docs: DataFrame, path: str, lexicon_size: int = LEXICON) -> DataFrame:
     """Rows (doc_id, ids binary, decoded binary): ids as little-endian unsigned 32-bit integers."""
-    return _encoded(docs, path, lexicon_size, "doc_id long, ids binary, decoded binary", lambda ids, text: (ids, text), (pa.binary(), pa.binary()))
+    return _encoded(docs, path, lexicon_size, "doc_id long, ids binary, decoded binary", lambda ids, text: (ids.tobytes(), text.to_pybytes()), (pa.binary(), pa.binary()))
 
 
 def _encoded(docs, path, lexicon_size, schema, make, kinds):
+    """make(ids, decoded text in UTF-8) -> the columns of a document's row."""
     rows = pick(docs, doc_id="long", text="string")
     local = share_file(docs.sparkSession, build_lexicon(rows, path, lexicon_size), "lexicon")
     names = [x.split()[0] for x in schema.split(", ")]
@@ -322,7 +315,9 @@ def _encoded(docs, path, lexicon_size, schema, make, kinds):
     def run(batches):
         codec = _codec(path, local)
         for batch in arrow_batches(batches, 512):
-            made = [make(ids, text) for ids, text in codec.encode(batch.column(1).to_pylist())]
+            ids, ends = codec.encode(batch.column(1))
+            ids, decoded = ids.astype("<u4"), codec.decode(ids, ends).cast(pa.large_binary())
+            made = [make(ids[a:b], text.as_buffer()) for a, b, text in zip(ends, ends[1:], decoded, strict=False)]
             yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array([m[i] for m in made], k) for i, k in enumerate(kinds)]], names)
 
     return rows.mapInArrow(run, schema)
@@ -330,7 +325,7 @@ def _encoded(docs, path, lexicon_size, schema, make, kinds):
 
 def op7_bpe_codec(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    digest = lambda ids, text: (len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(text).hexdigest())
+    digest = lambda ids, text: (len(ids), hashlib.sha256(ids).hexdigest(), hashlib.sha256(text).hexdigest())
     return _encoded(docs, vocabulary("word_bpe_49k.json"), LEXICON, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string", digest, (pa.int64(), pa.string(), pa.string()))
 
 
