@@ -70,10 +70,14 @@ def _read_varint(data, at: int) -> tuple[int, int]:
         shift += 7
 
 
-def _bloom_places(key: bytes, bits: int) -> list[int]:
-    h = xxhash.xxh3_128_intdigest(key)
-    a, b = h & 0xFFFFFFFFFFFFFFFF, h >> 64 | 1
-    return [(a + i * b) % bits for i in range(HASHES)]
+def _bloom_places(hashes: np.ndarray, bits: int) -> list[np.ndarray]:
+    """For each hash function, the places of keys whose 128-bit hashes are the rows [keys, 2]."""
+    a, b = hashes[:, 0] >> np.uint64(1), hashes[:, 1] >> np.uint64(8) | np.uint64(1)  # no sum exceeds 64 bits
+    return [(a + np.uint64(i) * b) % np.uint64(bits) for i in range(HASHES)]
+
+
+def _hashed(key: bytes) -> bytes:
+    return xxhash.xxh3_128_digest(key)
 
 
 class Writer:
@@ -81,12 +85,12 @@ class Writer:
 
     def __init__(self, out, width: int):
         self.out, self.width, self.at = out, width, 0
-        self.block, self.entries, self.last, self.index, self.keys = bytearray(), 0, b"", [], []
+        self.block, self.entries, self.last, self.index, self.hashes, self.n_docs = bytearray(), 0, b"", [], bytearray(), 0
         self.n_ids = 0
         self.zstd = zstandard.ZstdCompressor(level=1)
 
     def add(self, key: bytes, ids: bytes) -> None:
-        if self.keys and key <= self.keys[-1]:
+        if self.n_docs and key <= self.last:
             raise ValueError("keys must ascend")
         same = 0
         if self.entries:
@@ -94,7 +98,8 @@ class Writer:
                 same += 1
         self.block += _varint(same) + _varint(len(key) - same) + _varint(len(ids)) + key[same:] + ids
         self.last, self.entries = key, self.entries + 1
-        self.keys.append(key)
+        self.hashes += _hashed(key)
+        self.n_docs += 1
         self.n_ids += len(ids) // self.width
         if len(self.block) >= BLOCK:
             self._flush()
@@ -110,12 +115,12 @@ class Writer:
     def close(self) -> None:
         self._flush()
         index = b"".join(_varint(len(k)) + k + struct.pack("<QII", o, n, e) for k, o, n, e in self.index)
-        bits = max(64, len(self.keys) * BLOOM_BITS)
-        bloom = np.zeros(bits, bool)
-        for k in self.keys:
-            bloom[_bloom_places(k, bits)] = True
-        packed = np.packbits(bloom).tobytes()
-        self.out.write(index + packed + FOOTER.pack(self.at, len(index), self.at + len(index), len(packed), len(self.keys), self.n_ids, self.width, HASHES, MAGIC))
+        bits = max(64, self.n_docs * BLOOM_BITS)
+        bloom = np.zeros(-(-bits // 8), np.uint8)
+        for at in _bloom_places(np.frombuffer(self.hashes, "<u8").reshape(-1, 2), bits):
+            np.bitwise_or.at(bloom, (at >> np.uint64(3)).astype(np.int64), np.uint8(128) >> (at & np.uint64(7)).astype(np.uint8))
+        packed = bloom.tobytes()
+        self.out.write(index + packed + FOOTER.pack(self.at, len(index), self.at + len(index), len(packed), self.n_docs, self.n_ids, self.width, HASHES, MAGIC))
 
 
 class Reader:
@@ -157,9 +162,14 @@ class Reader:
         for i in range(len(self.blocks)):
             yield from self._entries(i)
 
+    def may_have(self, key: bytes) -> bool:
+        """What the filter says."""
+        places = (int(x[0]) for x in _bloom_places(np.frombuffer(_hashed(key), "<u8").reshape(1, 2), self.bits))
+        return all(self.bloom[b >> 3] >> (7 - (b & 7)) & 1 for b in places)
+
     def get(self, doc_id: int | None, nth: int = 0) -> np.ndarray | None:
         key = key_of(doc_id, nth)
-        if not all(self.bloom[b >> 3] >> (7 - (b & 7)) & 1 for b in _bloom_places(key, self.bits)):
+        if not self.may_have(key):
             return None
         i = bisect_left(self.last, key)
         if i < len(self.blocks):
@@ -176,10 +186,13 @@ def write_shards(docs: DataFrame, folder: str, path: str, end_id: int = END_ID)
         made, out, n, last, nth = None, None, 0, object(), 0
         enc = encoder(path)
         width = 2 if max(enc.tok.get_vocab_size(), end_id) < 1 << 16 else 4
+        end = np.array([end_id], f"<u{width}").tobytes()
         task = TaskContext.get()
         where, name = None, f"part-{task.partitionId():06d}-{task.taskAttemptId()}.sst"
         for batch in arrow_batches(batches, 256):
-            for doc_id, ids in zip(batch.column(0).to_pylist(), enc.encode(batch.column(1).to_pylist()), strict=True):
+            ids, ends = enc.batch(batch.column(1))
+            ids = ids.astype(f"<u{width}")
+            for doc_id, a, b in zip(batch.column(0).to_pylist(), ends.tolist(), ends[1:].tolist(), strict=False):
                 if made is None:
                     where, inner = fs.FileSystem.from_uri(folder)
                     where.create_dir(inner)
@@ -187,7 +200,7 @@ def write_shards(docs: DataFrame, folder: str, path: str, end_id: int = END_ID)
                     made = Writer(out, width)
                 nth = nth + 1 if doc_id == last else 0
                 last = doc_id
-                made.add(key_of(doc_id, nth), np.append(np.frombuffer(ids, "<u4"), end_id).astype(f"<u{width}").tobytes())
+                made.add(key_of(doc_id, nth), ids[a:b].tobytes() + end)
                 n += 1
         if made is not None:
             made.close()
