@@ -237,9 +237,10 @@ def pieces(docs: DataFrame, path: str, window: int = WINDOW, end_id: int = END_I
         tail = np.array([end_id], "<u4").tobytes()
         for batch in arrow_batches(batches, 256):
             rows = []
-            for doc_id, ids in zip(batch.column(0).to_pylist(), enc.encode(batch.column(1).to_pylist()), strict=True):
-                ids += tail
-                n = len(ids) // 4
+            flat, ends = enc.batch(batch.column(1))
+            flat = flat.astype("<u4")
+            for doc_id, x, y in zip(batch.column(0).to_pylist(), ends.tolist(), ends[1:].tolist(), strict=False):
+                ids, n = flat[x:y].tobytes() + tail, y - x + 1
                 first = n % window or window
                 cuts = [0, *range(first, n + 1, window)]
                 for k, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
