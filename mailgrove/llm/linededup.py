@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mailgrove.llm.shared import arrow_batches, pick, settle
+from mailgrove.llm.shared import arrow_batches, numbered, pick, place_of, settle, unsettle
 
 #: ASCII white space stripped from a key's ends.
 BLANKS = " \t\n\x0b\x0c\r"
@@ -164,8 +164,11 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> Dat
 
     Documents that keep every line have no row; `apply_bitmaps` turns this into keep bitmaps.
     """
-    placed = line_hashes(docs, min_chars).repartitionByRange("hi", "lo", "doc_id").sortWithinPartitions("hi", "lo", "doc_id", "tag", "pos")
+    # the range partitioner reads its input twice, once for a sample
+    hashes = settle(line_hashes(docs, min_chars), "line-hashes")
+    placed = hashes.repartitionByRange("hi", "lo", "doc_id").sortWithinPartitions("hi", "lo", "doc_id", "tag", "pos")
     runs = settle(placed.mapInArrow(_stream_runs(min_docs), RUNS), "line-runs")
+    unsettle(hashes)
     # At most two rows a partition reach this sum: safe to broadcast, whatever the size of the corpus.
     whole = runs.filter("kind = 2").groupBy("hi", "lo").agg(F.sum("n_docs").alias("total"), F.max("doc_id").alias("last")).filter(F.col("total") >= min_docs)
     late = runs.filter("kind = 1").join(F.broadcast(whole), ["hi", "lo"]).filter(F.col("doc_id") < F.col("last"))
@@ -192,10 +195,12 @@ def dropped_lines(packed: bytes | None, n_bits: int | None, n_lines: int) -> np.
 
 
 def with_bitmaps(docs: DataFrame, maps: DataFrame) -> DataFrame:
-    """docs (doc_id, text, ...) with the columns n_bits and dropped of their bitmaps; texts are hashed, not sorted."""
-    tagged = docs.withColumn("__id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))).withColumn("__tag", F.xxhash64(F.coalesce("text", F.lit(""))))
-    right = maps.select(F.col("doc_id").alias("__id"), F.col("tag").alias("__tag"), F.col("n_bits").alias("__n_bits"), F.col("dropped").alias("__dropped"))
-    return tagged.join(right.hint("shuffle_hash"), ["__id", "__tag"], "left")
+    """docs with columns of numbers (_c0, ...) and n_bits and dropped of their bitmaps; texts are hashed, not sorted."""
+    flat = numbered(docs)
+    doc_id, text = (F.col(f"_c{place_of(docs, name)}") for name in ("doc_id", "text"))
+    tagged = flat.withColumn("id", F.coalesce(doc_id.cast("long"), F.lit(NO_ID))).withColumn("tag", F.xxhash64(F.coalesce(text.cast("string"), F.lit(""))))
+    right = maps.select(F.col("doc_id").alias("id"), "tag", "n_bits", "dropped")
+    return tagged.join(right.hint("shuffle_hash"), ["id", "tag"], "left")
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> DataFrame:
@@ -216,7 +221,7 @@ def _judged(docs, min_chars, min_docs, column, make, kind):
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(gone_n, pa.int64()), pa.array(made, kind)], ["doc_id", "n_lines", "n_dropped", column.split()[0]])
 
     rows = pick(docs, doc_id="long", text="string")
-    return with_bitmaps(rows, keep_bitmaps(rows, min_chars, min_docs)).select("doc_id", "text", "__n_bits", "__dropped").mapInArrow(run, f"doc_id long, n_lines long, n_dropped long, {column}")
+    return with_bitmaps(rows, keep_bitmaps(rows, min_chars, min_docs)).select("_c0", "_c1", "n_bits", "dropped").mapInArrow(run, f"doc_id long, n_lines long, n_dropped long, {column}")
 
 
 def kept_text(lines: list[str], keep: np.ndarray) -> str:
@@ -237,9 +242,14 @@ def dedup_stage(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> Data
             out.append(t)
         return pd.Series(out, dtype=object)
 
-    columns = [F.when(F.col("__dropped").isNotNull(), cut("text", "__n_bits", "__dropped")).otherwise(F.col("text")).alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns]
-    out = joined.select(*columns)
-    return out.withColumn("n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"])) if "n_chars" in docs.columns else out
+    text, kinds = place_of(docs, "text"), [kind for _, kind in docs.dtypes]
+    at = {i: F.col(f"_c{i}") for i in range(len(kinds))}
+    at[text] = F.when(F.col("dropped").isNotNull(), cut(at[text], "n_bits", "dropped")).otherwise(at[text])
+    out = joined.select(*[c.alias(f"_c{i}") for i, c in at.items()])
+    if "n_chars" in docs.columns:
+        n = place_of(docs, "n_chars")
+        out = out.withColumn(f"_c{n}", F.length(f"_c{text}").cast(kinds[n]))
+    return out.toDF(*docs.columns)
 
 
 def op4_line_dedup(spark, sf_dir):
