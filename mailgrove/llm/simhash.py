@@ -30,11 +30,11 @@ VOTES = 1 << 15
 SEED = 42
 
 
-def fingerprint(text: str | None, words: int = 3) -> int:
-    """The unsigned 64-bit SimHash of a text."""
+def shingle_hashes(text: str | None, words: int) -> np.ndarray:
+    """XXH64 of every word shingle of a text, repeats included."""
     parts = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not parts:
-        return 0
+        return np.zeros(0, "<u8")
     line = memoryview(b" ".join(parts))
     ends = np.cumsum([len(p) + 1 for p in parts]) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
@@ -42,13 +42,22 @@ def fingerprint(text: str | None, words: int = 3) -> int:
         starts, ends = starts[: len(parts) - words + 1], ends[words - 1 :]
     else:
         starts, ends = starts[:1], ends[-1:]
-    digest, total = xxhash.xxh64_intdigest, np.zeros(64, np.int64)
-    starts, ends = starts.tolist(), ends.tolist()
-    for at in range(0, len(starts), VOTES):
-        hashes = np.array([digest(line[a:b], SEED) for a, b in zip(starts[at : at + VOTES], ends[at : at + VOTES], strict=True)], dtype="<u8")
-        bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    digest = xxhash.xxh64_intdigest
+    return np.array([digest(line[a:b], SEED) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)], dtype="<u8")
+
+
+def vote(hashes: np.ndarray) -> int:
+    """The unsigned fingerprint: each bit set in over half the hashes."""
+    total = np.zeros(64, np.int64)
+    for at in range(0, len(hashes), VOTES):
+        bits = np.unpackbits(hashes[at : at + VOTES].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         total += bits.sum(axis=0, dtype=np.int64)
-    return int(np.packbits(total * 2 > len(starts), bitorder="little").view("<u8")[0])
+    return int(np.packbits(total * 2 > len(hashes), bitorder="little").view("<u8")[0])
+
+
+def fingerprint(text: str | None, words: int = 3) -> int:
+    """The unsigned 64-bit SimHash of a text."""
+    return vote(shingle_hashes(text, words))
 
 
 def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
