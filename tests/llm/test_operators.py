@@ -154,7 +154,15 @@ def test_cached_encoder_random(name):
     letters = list("aAbEéèßñÀ\u0130ıΣς²½Ⅷ5'sStdlv.,!#$%&()*-/:;<=>@[]^_`{|}~\" \n\u0301\u0338\u0307日\u0958ﬁ٣…“\x00\xa0")
     texts = ["".join(rng.choice(letters, rng.integers(0, 60))) for _ in range(3000)]
     enc = tokens.Encoder(tokens.vocabulary(name))
-    assert enc.encode(texts) == [enc.whole(t) for t in texts]
+    want = [enc.whole(t) for t in texts]
+    assert enc.encode(texts) == want
+    if name[0] == "b":  # the ranked path, too
+        assert tokens.Encoder(tokens.vocabulary(name), tokens.vocabulary("byte_bpe_50k.tiktoken")).encode(texts) == want
+    else:  # the transducer codec and its decoder
+        codec = bpe.Codec(bpe.Vocabulary(tokens.vocabulary(name)), None)
+        ids, ends = codec.encode(__import__("pyarrow").array(texts))
+        assert [ids[a:b].astype("<u4").tobytes() for a, b in zip(ends, ends[1:], strict=False)] == want
+        assert codec.decode(ids, ends).to_pylist() == [enc.tok.decode(np.frombuffer(w, "<u4").tolist(), skip_special_tokens=False) for w in want]
 
 
 def test_bpe_codec(odd, none):
@@ -193,6 +201,40 @@ def test_token_store(spark, odd, none):
     assert tokenstore.read_shards(spark, tokenstore.write_shards(none, folder + "-none", path)).count() == 0
 
 
+def test_token_store_of_many_shards(spark):
+    """Running starts, crcs and lookups over several shards; absent keys; the filter's rate; a hot id."""
+    rng = np.random.default_rng(9)
+    rows = [(int(i), " ".join(rng.choice(["alpha", "beta", "gamma's", "12"], int(rng.integers(0, 60))))) for i in rng.permutation(900) * 3 - 600] + [(30, f"again {i}") for i in range(40)]
+    path, folder = tokens.vocabulary("word_bpe_49k.json"), shared.new_path(spark, "test-shards")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    manifest = tokenstore.write_shards(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), folder, path)
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(manifest) > 2 and sum(m["docs"] for m in manifest) == len(rows)
+    enc = tokens.Encoder(path)
+    start, want = 0, []
+    for i, t in sorted(rows):
+        ids = [*np.frombuffer(enc.whole(t), "<u4").tolist(), 2]
+        want.append((i, start, ids))
+        start += len(ids)
+    got = sorted((r["doc_id"], r["start"], np.frombuffer(r["ids"], "<u4").tolist()) for r in tokenstore.read_shards(spark, manifest).collect())
+    assert got == want
+    from pyarrow import fs
+
+    known, absent, wrong = {i: ids for i, _, ids in want if i != 30}, 0, 0
+    for m in manifest:
+        where, inner = fs.FileSystem.from_uri(m["path"])
+        with where.open_input_file(inner) as f:
+            reader = tokenstore.Reader(f, f.size())
+            for i in range(-599, 2100, 3):  # none of these is an id
+                assert reader.get(i) is None
+                wrong += reader.may_have(tokenstore.key_of(i))
+                absent += 1
+            for i in list(known):
+                if (ids := reader.get(i)) is not None:
+                    assert ids.tolist() == known.pop(i)
+    assert not known and wrong < 0.03 * absent
+
+
 def test_packing(odd, none):
     path = tokens.vocabulary("byte_bpe_50k.json")
     rows = packing.pack(odd, path, window=64).toPandas()
@@ -223,7 +265,7 @@ def vectors(spark):
     x[50:90] = x[:40] + rng.normal(size=(40, 8)) * 0.2
     x[100:140] = x[99]
     rows = [(i, [float(f) for f in np.float32(v)], 1) for i, v in enumerate(x)]
-    rows += [(1000, None, 1), (1001, [0.0] * 8, 1), (1002, [float("nan")] * 8, 1), (1003, [1.0, None] * 4, 1), (1020, [float("inf")] * 8, 1), (1040, [1.0], 1)]
+    rows += [(1000, None, 1), (1001, [0.0] * 8, 1), (1002, [float("nan")] * 8, 1), (1003, [1.0, None] * 4, 1), (1020, [float("inf")] * 8, 1), (1040, [1.0], 1)]  # 1040: alone in its length
     return spark.createDataFrame(rows, "vec_id long, embedding array<float>, cell int")
 
 
@@ -256,6 +298,30 @@ def test_tree_search(vectors):
     assert ann.search(vectors.limit(0), lambda v: v % 20 == 0).count() == 0
 
 
+def test_vectors_repeated_and_of_other_lengths(spark):
+    """Equal rows, repeated query rows and vectors of rarer lengths, against brute force."""
+    rng = np.random.default_rng(12)
+    x = [list(map(float, np.float32(v))) for v in rng.normal(size=(60, 8))]
+    rows = [(i, v) for i, v in enumerate(x)] + [(20, x[20]), (20, x[20]), (40, x[3]), (None, x[3]), (None, x[5]), (100, [1.0, 2.0]), (101, [1.0, 2.0]), (102, [2.0, -1.0]), (120, [2.0, 4.0])]
+    df = spark.createDataFrame([(i, v, 1, 2) for i, v in rows], "vec_id long, embedding array<float>, row int, d int")
+
+    def near(a, b):
+        return len(a) == len(b) and np.dot(a, b) / np.sqrt(np.dot(a, a) * np.dot(b, b)) >= 0.9
+
+    pairs = [(i, j) for i, j in itertools.combinations(range(len(rows)), 2) if near(rows[i][1], rows[j][1])]
+    root = _classes(len(rows), pairs)
+    ids = [sorted(rows[j][0] for j in range(len(rows)) if root[j] == root[i] and rows[j][0] is not None) for i in range(len(rows))]
+    want = sorted(((rows[i][0], sum(i in p for p in pairs), ids[i][0] if ids[i] else None) for i in range(len(rows))), key=str)
+    assert sorted((tuple(r) for r in vecdedup.near_duplicates(df).collect()), key=str) == want
+    got = sorted((r["query_id"], r["rank"], -1 if r["vec_id"] is None else r["vec_id"], r["score"]) for r in ann.search(df, lambda v: v % 20 == 0, target=1.0).collect())
+    want = []
+    for q, (i, v) in enumerate(rows):
+        if i is not None and i % 20 == 0:
+            s = sorted((-float((np.array(v) * np.array(w)).sum()), -(1 << 62) if j is None else j) for at, (j, w) in enumerate(rows) if at != q and len(w) == len(v))
+            want += [(i, k + 1, -1 if j < 0 else j, -score) for k, (score, j) in enumerate(s[:20])]
+    assert got == sorted(want)
+
+
 def test_language_id(spark, odd, none):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     fitted = langid.fit(langid.training_rows(docs))
@@ -286,8 +352,52 @@ def test_toxicity(spark, odd, none):
     assert toxicity.score(odd, empty).where("score <> 0").count() == 0
 
 
+def test_language_edges(spark, odd, none):
+    """Letters by their Unicode class; nothing learned; gibberish and unknown languages go, known ones stay."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    fitted = langid.fit(langid.training_rows(docs))
+    rng = np.random.default_rng(6)
+    noise = " ".join("".join(rng.choice(list("bcdfghjklmnpqrstvwxyz"), 7)) for _ in range(40))
+    some = spark.createDataFrame([(1, "½ ² 12"), (2, None), (3, noise), (4, "это русский текст о погоде и о людях"), (5, " ")], "doc_id long, text string")
+    rows = {r["doc_id"]: r for r in langid.predict(some, fitted).collect()}
+    assert [rows[i]["lang_pred"] for i in (1, 2, 5)] == ["und"] * 3 and all(rows[i]["score"] == 0 for i in (1, 2, 5)) and all(r["rejected"] for r in rows.values())
+    assert langid.stage(docs).count() >= 0.98 * docs.count()
+    untaught = spark.createDataFrame([(1, "hello there", None), (3, None, "en")], "doc_id long, text string, lang string")
+    assert langid.stage(untaught).count() == 0 and langid.stage(none).count() == 0
+
+
+def test_toxicity_with_few_labels(spark):
+    """One toxic row still makes a model; the curve then comes from the rows at hand."""
+    docs = spark.createDataFrame([(i, f"quiet words number {'x' * (i % 7)} and more") for i in range(40)] + [(100, "zorgblat zorgblat you zorgblat")], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i == 100)) for i in [*range(40), 100]], "doc_id long, toxic int")
+    fitted = toxicity.fit(toxicity.labelled(docs, labels, held=99))
+    got = {r["doc_id"]: r["score"] for r in toxicity.score(docs, fitted).collect()}
+    assert fitted.model is not None and got[100] == max(got.values()) > got[0]
+
+
+CLASH = "Text string, DOC_ID string, text string, doc_id long, lang string, Lang string, source string, n_chars long"
+
+
+def test_names_that_differ_in_case(spark):
+    """Extra columns called like the operators' own but for case change nothing."""
+    import corpus_pipeline
+
+    rows = [(None, "x", t, i, "en", "q", "s", 3) for i, t in TEXTS]
+    clash, plain = spark.createDataFrame(rows, CLASH), spark.createDataFrame([(t, i, "en", "s", 3) for i, t in TEXTS], "text string, doc_id long, lang string, source string, n_chars long")
+    same = lambda f: sorted(map(str, f(clash).collect())) == sorted(map(str, f(plain).collect()))
+    assert same(simhash.simhash_classes) and same(linededup.dedup_lines) and same(lambda d: bpe.encode_documents(d, tokens.vocabulary("word_bpe_49k.json"), 20))
+    assert same(lambda d: packing.pack(d, tokens.vocabulary("byte_bpe_50k.json")).select("doc_id", "piece", "length", "ids_crc32"))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out, want = stage(spark, clash, SF), stage(spark, plain, SF)
+        assert out.columns == clash.columns, name
+        key = lambda r: str((r[3], r[2], r[7]))
+        assert sorted(map(key, out.collect())) == sorted(str((r["doc_id"], r["text"], r["n_chars"])) for r in want.collect()), name
+
+
 def test_licenses(spark, odd, none):
-    files = odd.where("doc_id IS NOT NULL").select("doc_id", F.concat(F.when(F.col("doc_id") < 5, "far/").otherwise("top/sub/"), F.col("doc_id").cast("string")).alias("path"), "text", "tag")
+    files = odd.select("doc_id", F.concat(F.when(F.col("doc_id") < 5, "far/").otherwise("top/sub/"), F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))).alias("path"), "text", "tag")
+    licensed = spark.createDataFrame([(None, "a/x", "Released under the MIT License."), (None, "a/x", "words"), (None, None, "Licensed under CC BY-NC 4.0.")], "doc_id long, path string, text string")
+    assert sorted((r["path"], r["license_id"], r["cosine"] is not None, r["declared_in"]) for r in licenses.license_scan(licensed).collect()) == [("", "CC-BY-NC-4.0", True, ""), ("a/x", "MIT", False, "a"), ("a/x", "MIT", True, "a/x")]
     got = {r["doc_id"]: r for r in licenses.license_scan(files).collect()}
     assert got[12]["license_id"] == "Apache-2.0" and got[12]["declared_in"] == "top/sub/12" and got[13]["license_id"] == "Apache-2.0" and got[13]["declared_in"] == "top/sub" and got[1]["license_id"] is None
     assert licenses.license_scan(none.withColumn("path", F.lit("x"))).count() == 0

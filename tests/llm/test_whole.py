@@ -3,6 +3,7 @@
 import itertools
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -62,28 +63,71 @@ def test_near_copies_odd(spark):
     assert {r["doc_id"] for r in corpus_pipeline.drop_near_copies(spark, docs, None).collect()} == {3, 4, None, 7, 8}
 
 
-def test_models_keep_every_gram(spark):
-    """Counts and continuation counts are those of all the training words, as brute force has them: rare grams of the small class too."""
-    rng = np.random.default_rng(5)
-    words = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 7)) for _ in range(9000)]
-    rows = [(" ".join(words[i : i + 9]), int(i % 90 == 0)) for i in range(0, 9000, 9)] + [("common words again", 0)] * 50
-    order = 4
-    df = spark.createDataFrame(rows, "text string, label int")
-    counts = charlm.collect_counts(charlm.count_grams(df, order, 2))
-    want = {}
+def _slow_model(rows, order, labels, shared):
+    """Interpolated Kneser-Ney from the definition, on strings: a function (word, label) -> log-likelihood, and the counts."""
+    raw = {}
     for text, label in rows:
         for w in text.split():
             padded = "^" * (order - 1) + w + "$"
             for end in range(order - 1, len(padded)):
                 for k in range(1, order + 1):
                     cell = (k, padded[end - k + 1 : end + 1], label)
-                    want[cell] = want.get(cell, 0) + 1
+                    raw[cell] = raw.get(cell, 0) + 1
+    characters = {c for k, g, _ in raw for c in g if k == 1} | ({"^"} if order > 1 else set())
+    levels = {}  # (level, label) -> {gram: count}
+    for label in range(labels):
+        for k in range(1, order):
+            before = {}
+            for g in {g for size, g, of in raw if size == k + 1 and (shared or of == label)}:
+                before[g[1:]] = before.get(g[1:], 0) + 1
+            levels[k, label] = before
+        top = {}
+        for (size, g, of), n in raw.items():
+            if size == order and (shared or of == label):
+                top[g] = top.get(g, 0) + n
+        levels[order, label] = top
+        levels[order + 1, label] = {g: n for (size, g, of), n in raw.items() if size == order and of == label}
+    total = [sum(levels[order + 1, label].values()) for label in range(labels)]
+
+    def probability(level, g, label):
+        if level == 0:
+            return 1 / (len(characters) + 1)
+        cut = charlm.RARE * total[label] / min(total) if level > order else charlm.DISCOUNT
+        below = probability(level - 1, g if level > order else g[1:], label)
+        ext = {x: n for x, n in levels[level, label].items() if x[:-1] == g[:-1]}
+        if not ext:
+            return below
+        return (max(ext.get(g, 0) - cut, 0) + sum(min(n, cut) for n in ext.values()) * below) / sum(ext.values())
+
+    def score(w, label):
+        padded = "^" * (order - 1) + w + "$"
+        return sum(np.log(max(1e-12, probability(order + shared, padded[end - order + 1 : end + 1], label))) for end in range(order - 1, len(padded)))
+
+    return score, raw
+
+
+@pytest.mark.parametrize("shared", [False, True])
+def test_models_equal_slow_kneser_ney(spark, shared):
+    """Every gram counts, rare ones of the small class too, and scores are those of the definition; in one part and in several."""
+    rng = np.random.default_rng(5)
+    words = ["".join(rng.choice(list("abcdef"), int(rng.integers(1, 7)))) for _ in range(400)]
+    rows = [(" ".join(words[i : i + 9]), int(i % 90 == 0)) for i in range(0, 400, 9)] + [("common words again", 0)] * 20 + [("", 0), (None, 1), ("12 34", 1)]
+    order = 3
+    score, raw = _slow_model([(t or "", y) for t, y in rows if t != "12 34"], order, 2, shared)
+    counted = charlm.count_words(spark.createDataFrame(rows, "text string, label int"), 2)
+    grams = charlm.count_grams(counted, order, 2).collect()
     for k in range(1, order + 1):
         for label in (0, 1):
-            pick = (counts["size"] == k) & (counts["label"] == label)
-            assert sorted(counts["n"][pick].tolist()) == sorted(n for (size, _, of), n in want.items() if (size, of) == (k, label))
-    model = charlm.build(counts, order, 2, shared=False)
-    assert [len(x) for x in model.keys] == [len({g for size, g, _ in want if size == k}) for k in range(1, order + 1)]
+            assert sorted(r["n"] for r in grams if (r["size"], r["label"]) == (k, label)) == sorted(n for (size, _, of), n in raw.items() if (size, of) == (k, label))
+    asked = [*dict.fromkeys(words[:40]), "common", "zzz", "é", "a" * 50]
+    want = np.array([[score(w, label) for label in (0, 1)] for w in asked])
+    for rows_a_part in (charlm.PART_ROWS, 100):
+        before, charlm.PART_ROWS = charlm.PART_ROWS, rows_a_part
+        model = charlm.fit_model(counted, order, 2, shared)
+        charlm.PART_ROWS = before
+        assert (len(model.files) > 4) == (rows_a_part == 100)
+        ll, chars = charlm.Mapped(model).word_scores(asked)
+        assert np.allclose(ll, want, rtol=1e-4) and chars.tolist() == [len(w) + 1 for w in asked]
 
 
 APACHE = """/*
