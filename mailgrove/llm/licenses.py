@@ -118,6 +118,7 @@ def score_blocks(blocks: DataFrame, least: float = LEAST) -> DataFrame:
 def _score(lines: DataFrame, templates: DataFrame, how_many: int, least: float, body: str) -> DataFrame:
     t_tokens = templates.select("license_id", F.explode(_tokens(F.col("statement"))).alias("token")).groupBy("license_id", "token").agg(F.count(F.lit(1)).alias("tf"))
     l_tokens = lines.select("line", "n", F.explode(_tokens(F.col(body))).alias("token")).groupBy("line", "n", "token").agg(F.count(F.lit(1)).alias("tf"))
+    l_tokens = settle(l_tokens, "license-tokens")  # read three times below
     df = l_tokens.select("token", "n").unionByName(t_tokens.select("token", F.lit(1).cast("long").alias("n"))).groupBy("token").agg(F.sum("n").alias("df"))
     total = lines.agg((F.coalesce(F.sum("n"), F.lit(0)) + how_many).alias("total"))  # one row
     idf = df.crossJoin(F.broadcast(total)).select("token", (F.log((1 + F.col("total")) / (1 + F.col("df"))) + 1).alias("idf"))
@@ -154,7 +155,7 @@ def _blocks(named: DataFrame) -> DataFrame:
     wrapped = F.transform(runs, lambda w: join(F.slice(every, w["s"], w["n"])))
     opening = F.when(F.exists("marked", lambda j: j <= F.col("opening")), F.array(join(F.slice(every, 1, F.col("opening"))))).otherwise(F.array().cast("array<string>"))
     out = named.filter("size(marked) > 0").select("row", F.explode(F.array_distinct(F.concat(F.array(join(every)), opening, paragraphs, wrapped))).alias("body"))
-    return out.select("row", F.sha1("body").alias("key"), "body")
+    return out.select("row", F.xxhash64("body").cast("string").alias("key"), "body")
 
 
 def _tags(named: DataFrame) -> DataFrame:
