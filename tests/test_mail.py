@@ -109,6 +109,25 @@ def test_commas_in_names():
         ("101-06-15T16:30:00-07:00", "2001-06-15 23:30:00"),
         ("Thu, 5 Jun 2008 10:00:00 +9900", None),
         ("nothing", None),
+        ("3 Jan 00 10:00:00 +0100", "2000-01-03 09:00:00"),
+        ("Fri, 1 Jun 22 14:30", "2022-06-01 14:30:00"),
+        ("Mon, 15 Mar 2021 10:30 UT", "2021-03-15 10:30:00"),
+        ("01 Jul 2021 12:00:00 A", "2021-07-01 12:00:00"),
+        ("Wed, 15 Jan 2025 08:30:00 EST", "2025-01-15 13:30:00"),
+        ("Thu Oct 16 22:10:38 EST 2008", "2008-10-16 22:10:38"),
+        ("31-Oct-2005 11:20:23 MST", "2005-10-31 11:20:23"),
+        ("Sunday, 06-Nov-94 08:49:37 GMT", "1994-11-06 08:49:37"),
+        ("Thu Jul 10 13:45:50 2008 -0500", "2008-07-10 18:45:50"),
+        ("Sun Nov  6 08:49:37 1994", "1994-11-06 08:49:37"),
+        ("2006-07-19 16:56:33 -0700 (Wed, 19 Jul 2006)", "2006-07-19 23:56:33"),
+        ("at 2025-12-05T11:13:54.250-06:00 sharp", "2025-12-05 17:13:54"),
+        ("0102-08-22 10:00:00Z", "2002-08-22 10:00:00"),
+        ("Tue,  4 Nov 101 22:14:47 +0000 (UTC)", "2001-11-04 22:14:47"),
+        ("Tue, 31 Nov 2006 10:06:43 +0300", None),
+        ("Mon, 15 Apr 2024 10:00:00 +2400", None),
+        ("Mon, 15 Apr 2024 10:00:00 +2359", "2024-04-14 10:01:00"),
+        ("Sat, 31 Dec 2022 23:59:60 -0000", "2022-12-31 23:59:59"),
+        ("29 Feb 2023 10:00:00 GMT", None),
     ],
 )
 def test_dates(text, want):
