@@ -8,6 +8,7 @@ import uuid
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -170,4 +171,16 @@ def arrow_batches(batches: Iterator, rows: int) -> Iterator:
             yield batch.slice(at, rows)
 
 
+def text_batches(batches: Iterator, column: int, rows: int, size: int = 4 << 20) -> Iterator:
+    """Re-slice Arrow batches to at most `rows` rows and about `size` bytes of a text column; a longer text comes alone."""
+    for batch in batches:
+        upto = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        at = 0
+        while at < batch.num_rows:
+            before = int(upto[at - 1]) if at else 0
+            end = max(at + 1, min(at + rows, int(np.searchsorted(upto, before + size, "right"))))
+            yield batch.slice(at, end - at)
+            at = end
+
+
 LONG, INT, STR, BIN, DBL, BOOL = T.LongType(), T.IntegerType(), T.StringType(), T.BinaryType(), T.DoubleType(), T.BooleanType()

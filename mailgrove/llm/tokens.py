@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import base64
 import os
+import re
 import sys
 from itertools import chain
 
@@ -24,6 +25,10 @@ CACHE, ROOM = 300_000, 24 << 20
 ODD_SPACE = r"[\x0b\x0c\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 #: White space that a space-marking vocabulary doesn't cut piece by piece: runs, tabs, ends of texts, and the mark used for cutting.
 RUNS = r"  | \n|\n |\n\n|[\t\r\x00]|[ \n]\z"
+#: ASCII marks that end a word (the apostrophe may not).
+MARKS = r"[!-&(-/:-@\[-`{-~]"
+#: Letters that are one letter in either case and composed; others may end in a combining mark, which joins the marks after it.
+PLAIN = r"[A-Za-z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{ff}]"
 #: The pattern of the byte-level vocabulary's rank file (fixed value).
 RANKED_WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -78,6 +83,16 @@ class Table:
         return self.ids[gather(self.start[number], size)], size
 
 
+def words_apart(texts: pa.Array) -> pa.Array:
+    """Texts in which far fewer pieces are distinct, with the same words for a lower-casing vocabulary with word ends.
+
+    A-Z are lower-cased, unless the text has combining marks (these may compose with one case
+    only), and a blank stands between a plain letter and an ASCII mark, where a word ends anyway.
+    """
+    combined = pc.match_substring_regex(texts, r"\p{M}")
+    return pc.replace_substring_regex(pc.if_else(combined, texts, pc.ascii_lower(texts)), rf"({PLAIN})({MARKS})", r"\1 \2")
+
+
 def joined(ids: np.ndarray, size: np.ndarray, offsets: np.ndarray, whole: dict[int, np.ndarray]):
     """(ids, offsets of the documents) from the ids of all pieces, the number of ids of each, the pieces' offsets and the documents encoded whole."""
     ends = np.concatenate(([0], np.cumsum(size)))[offsets]
@@ -112,6 +127,9 @@ class Encoder:
         self.tok.no_padding()
         special = [_escaped(t.content) for t in self.tok.get_added_tokens_decoder().values()]
         self.spaced = self._spaced()
+        self.worded = not self.spaced and self._worded()
+        if self.worded:
+            special = [f"(?i:{x})" for x in special]  # lower-casing must not make one
         self.odd = "|".join([*special, ODD_SPACE, *([RUNS] if self.spaced else [])])
         self.table, self.ranked = Table(self._learn), None
         if ranks:
@@ -125,6 +143,12 @@ class Encoder:
         """Whether a space before a word is part of its ids."""
         return self.tok.encode(" a", add_special_tokens=False).ids != self.tok.encode("a", add_special_tokens=False).ids
 
+    def _worded(self) -> bool:
+        """Whether words_apart keeps the ids: case doesn't count and a mark begins a new word."""
+        same = lambda a, b: self.tok.encode(a, add_special_tokens=False).ids == self.tok.encode(b, add_special_tokens=False).ids
+        letters = all(same(x, x.lower()) for x in map(chr, range(65, 91)))
+        return letters and all(same(f"zq{m}{m}x", f"zq {m}{m}x") for m in map(chr, range(33, 127)) if re.fullmatch(MARKS, m))
+
     def whole(self, text: str) -> bytes:
         return np.array(self.tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
@@ -139,7 +163,7 @@ class Encoder:
     def _cut(self, texts: pa.Array) -> pa.Array:
         """Pieces whose ids don't depend on each other."""
         if not self.spaced:
-            return pc.utf8_split_whitespace(texts)
+            return pc.utf8_split_whitespace(words_apart(texts) if self.worded else texts)
         # single spaces go with the next word, single line ends stand alone
         return pc.split_pattern(pc.replace_substring(pc.replace_substring(texts, "\n", "\x00\n\x00"), " ", "\x00 "), "\x00")
 

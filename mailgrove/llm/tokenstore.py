@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mailgrove.llm.shared import arrow_batches, new_path, pick
+from mailgrove.llm.shared import new_path, pick, text_batches
 from mailgrove.llm.tokens import encoder, vocabulary
 
 BLOCK, BLOOM_BITS, HASHES, MAGIC = 1 << 16, 10, 7, b"MGSSTv01"
@@ -189,7 +189,7 @@ def write_shards(docs: DataFrame, folder: str, path: str, end_id: int = END_ID)
         end = np.array([end_id], f"<u{width}").tobytes()
         task = TaskContext.get()
         where, name = None, f"part-{task.partitionId():06d}-{task.taskAttemptId()}.sst"
-        for batch in arrow_batches(batches, 256):
+        for batch in text_batches(batches, 1, 2048):
             ids, ends = enc.batch(batch.column(1))
             ids = ids.astype(f"<u{width}")
             for doc_id, a, b in zip(batch.column(0).to_pylist(), ends.tolist(), ends[1:].tolist(), strict=False):
