@@ -33,14 +33,16 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mailgrove.llm.shared import arrow_batches, new_path, pick, worker_state
-from mailgrove.llm.tokens import CACHE, ODD_SPACE, Table, joined, split, vocabulary
+from mailgrove.llm.shared import arrow_batches, new_path, pick, text_batches, worker_state
+from mailgrove.llm.tokens import CACHE, ODD_SPACE, Table, joined, split, vocabulary, words_apart
 
 #: Words compiled into the lexicon; documents whose words are counted together.
 LEXICON, SLICE = 32_768, 4096
 #: The vocabulary's pattern for words (fixed value).
 WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\t-\r \x85\p{Z}\p{L}\p{N}]+")
 END = "</w>"
+#: Words merged together, and the rank of pairs that don't merge.
+TOGETHER, NONE = 8192, 1 << 60
 
 
 def byte_symbols() -> list[str]:
@@ -69,6 +71,26 @@ class Vocabulary:
         self.at_special = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) or r"(?!)")
         self.string = {i: s for s, i in self.ids.items()} | {i: s for s, i in self.special.items()}
         self.symbols = byte_symbols()
+        self._number_symbols()
+
+    def _number_symbols(self) -> None:
+        """Arrays for merging many words at once: symbols by number (0 fills), pairs as sorted keys."""
+        names = dict.fromkeys([*self.symbols, *(x + END for x in self.symbols), *chain.from_iterable((a, b, a + b) for a, b in self.rank)])
+        number = {x: i for i, x in enumerate(names, 1)}
+        self.inside, self.ending = (np.array([number[x + e] for x in self.symbols], np.int64) for e in ("", END))
+        self.id_of = np.array([-1, *(self.ids.get(x, -1) for x in names)], np.int64)
+        self.base = len(names) + 1
+        pairs = np.array([number[a] * self.base + number[b] for a, b in self.rank], np.int64)
+        ranks, made = np.fromiter(self.rank.values(), np.int64, len(pairs)), np.array([number[a + b] for a, b in self.rank], np.int64)
+        order = np.argsort(pairs)
+        self.pairs, self.pair_rank = pairs[order], ranks[order]
+        self.made = np.zeros(int(ranks.max(initial=0)) + 1, np.int64)
+        self.made[ranks] = made
+
+    def _ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        want = a * self.base + b
+        at = np.minimum(np.searchsorted(self.pairs, want), len(self.pairs) - 1)
+        return np.where(self.pairs[at] == want, self.pair_rank[at], NONE)
 
     def normal(self, text: str) -> str:
         if text.isascii():
@@ -93,6 +115,49 @@ class Vocabulary:
                 parts[i : i + 2] = [parts[i] + parts[i + 1]]
         return [self.ids[p] for p in parts if p in self.ids]
 
+    def merge_all(self, words: list[str]) -> list[list[int]]:
+        """merge() of many words, those of similar length together: each round merges the best pair of every word that has one."""
+        raw = [w.encode("utf-8", "surrogatepass") for w in words]
+        out: list = [None] * len(words)
+        size = np.fromiter(map(len, raw), np.int64, len(raw))
+        order = np.argsort(size, kind="stable")
+        short = order[(size[order] <= 64) & (size[order] > 0)] if len(self.pairs) else order[:0]
+        for at in range(0, len(short), TOGETHER):
+            some = short[at : at + TOGETHER]
+            merged = self.id_of[self._merge_block([raw[i] for i in some.tolist()], size[some])]
+            known = merged >= 0
+            ends = np.cumsum(known.sum(1)).tolist()
+            flat = merged[known].tolist()
+            for i, a, b in zip(some.tolist(), [0, *ends], ends, strict=False):
+                out[i] = flat[a:b]
+        return [self.merge(w) if x is None else x for w, x in zip(words, out, strict=True)]
+
+    def _merge_block(self, raw: list[bytes], size: np.ndarray) -> np.ndarray:
+        n, width = len(raw), int(size.max())
+        place = np.arange(width + 1)
+        symbols = np.zeros((n, width + 1), np.int64)
+        flat = np.frombuffer(b"".join(raw), np.uint8)
+        symbols[place < size[:, None]] = self.inside[flat]
+        symbols[np.arange(n), size - 1] = self.ending[flat[np.cumsum(size) - 1]]
+        ranks = self._ranks(symbols[:, :-1], symbols[:, 1:])
+        out, row = np.zeros_like(symbols), np.arange(n)
+        while len(row):
+            i = ranks.argmin(1)  # the leftmost of equal ranks
+            best = ranks[np.arange(len(row)), i]
+            live = best < NONE
+            if not live.all():
+                out[row[~live]] = symbols[~live]
+                symbols, ranks, i, best, row = symbols[live], ranks[live], i[live], best[live], row[live]
+            every = np.arange(len(row))
+            symbols[every, i] = self.made[best]
+            moved = np.minimum(place + (place > i[:, None]), width)
+            symbols = np.take_along_axis(symbols, moved, 1)
+            ranks = np.take_along_axis(ranks, np.minimum(moved[:, :-1], width - 1), 1)
+            ranks[every, i] = self._ranks(symbols[every, i], symbols[every, i + 1])
+            left, j = every[i > 0], i[i > 0]
+            ranks[left, j - 1] = self._ranks(symbols[left, j - 1], symbols[left, j])
+        return out
+
     def _merge_long(self, parts: list[str]) -> list[str]:
         n, rank = len(parts), self.rank
         after, before = [*range(1, n), -1], [*range(-1, n - 1)]
@@ -232,7 +297,9 @@ class Codec:
         ids = self.known
         words = [w for w in dict.fromkeys(chain.from_iterable(cut)) if w not in ids]
         found = self.lexicon.find([w.encode("utf-8", "surrogatepass") for w in words]) if self.lexicon else [None] * len(words)
-        ids.update((w, self.v.merge(w) if k is None else k.tolist()) for w, k in zip(words, found, strict=True))
+        ids.update((w, k.tolist()) for w, k in zip(words, found, strict=True) if k is not None)
+        unseen = [w for w, k in zip(words, found, strict=True) if k is None]
+        ids.update(zip(unseen, self.v.merge_all(unseen), strict=True))
         got = [ids[c[0]] if len(c) == 1 else [i for w in c for i in ids[w]] for c in cut]
         size = np.fromiter(map(len, got), np.int64, len(got))
         return size, np.fromiter(chain.from_iterable(got), np.uint32, int(size.sum()))
@@ -252,7 +319,7 @@ class Codec:
         """(ids of all texts in a row, offsets of the texts)."""
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
         odd = pc.match_substring_regex(texts, ODD_SPACE + r"|<\|").to_numpy(zero_copy_only=False)
-        pieces, offsets = split(texts, odd, pc.utf8_split_whitespace)
+        pieces, offsets = split(texts, odd, lambda x: pc.utf8_split_whitespace(words_apart(x)))
         whole = {i: self._careful(texts[i].as_py()) for i in np.flatnonzero(odd).tolist()}
         return joined(*self.table.of(pieces), offsets, whole)
 
@@ -268,7 +335,7 @@ def word_counts(docs: DataFrame, path: str) -> DataFrame:
     def run(batches):
         v = Vocabulary(path)
         for batch in arrow_batches(batches, SLICE):
-            pieces = pc.value_counts(pc.utf8_split_whitespace(pc.utf8_lower(pc.fill_null(batch.column(0).cast(pa.large_string()), ""))).flatten())
+            pieces = pc.value_counts(pc.utf8_split_whitespace(words_apart(pc.fill_null(batch.column(0).cast(pa.large_string()), ""))).flatten())
             total = Counter()
             for p, n in zip(pieces.field("values").to_pylist(), pieces.field("counts").to_pylist(), strict=True):
                 for w in (p,) if p.isalpha() and p.isascii() else WORDS.findall(v.normal(p)):
@@ -282,7 +349,8 @@ def word_counts(docs: DataFrame, path: str) -> DataFrame:
 def build_lexicon(docs: DataFrame, path: str, size: int = LEXICON) -> bytes:
     top = word_counts(docs, path).orderBy(F.desc("n"), "word").limit(size).collect()  # bounded by size
     v = Vocabulary(path)
-    return compile_lexicon({r["word"].encode(): v.merge(r["word"]) for r in top})
+    words = [r["word"] for r in top]
+    return compile_lexicon({w.encode(): ids for w, ids in zip(words, v.merge_all(words), strict=True)})
 
 
 def share_file(spark, data: bytes, name: str) -> str:
@@ -314,7 +382,7 @@ def _encoded(docs, path, lexicon_size, schema, make, kinds):
 
     def run(batches):
         codec = _codec(path, local)
-        for batch in arrow_batches(batches, 512):
+        for batch in text_batches(batches, 1, 2048):
             ids, ends = codec.encode(batch.column(1))
             ids, decoded = ids.astype("<u4"), codec.decode(ids, ends).cast(pa.large_binary())
             made = [make(ids[a:b], text.as_buffer()) for a, b, text in zip(ends, ends[1:], decoded, strict=False)]

@@ -89,8 +89,8 @@ def words_apart(texts: pa.Array) -> pa.Array:
     A-Z are lower-cased, unless the text has combining marks (these may compose with one case
     only), and a blank stands between a plain letter and an ASCII mark, where a word ends anyway.
     """
-    combined = pc.match_substring_regex(texts, r"\p{M}")
-    return pc.replace_substring_regex(pc.if_else(combined, texts, pc.ascii_lower(texts)), rf"({PLAIN})({MARKS})", r"\1 \2")
+    apart = pc.replace_substring_regex(texts, rf"({PLAIN})({MARKS})", r"\1 \2")  # a new array: ascii_lower misreads slices
+    return pc.if_else(pc.match_substring_regex(texts, r"\p{M}"), apart, pc.ascii_lower(apart))
 
 
 def joined(ids: np.ndarray, size: np.ndarray, offsets: np.ndarray, whole: dict[int, np.ndarray]):

@@ -156,9 +156,15 @@ def test_cached_encoder_random(name):
     enc = tokens.Encoder(tokens.vocabulary(name))
     want = [enc.whole(t) for t in texts]
     assert enc.encode(texts) == want
+    sliced = __import__("pyarrow").array(texts).slice(700, 900)
+    ids, ends = enc.batch(sliced)
+    assert [ids[a:b].astype("<u4").tobytes() for a, b in zip(ends, ends[1:], strict=False)] == want[700:1600]
     if name[0] == "b":  # the ranked path, too
         assert tokens.Encoder(tokens.vocabulary(name), tokens.vocabulary("byte_bpe_50k.tiktoken")).encode(texts) == want
     else:  # the transducer codec and its decoder
+        apart = tokens.words_apart(sliced)
+        apart.validate(full=True)
+        assert enc.encode(apart.to_pylist())[:50] == [enc.whole(t) for t in apart.to_pylist()[:50]]
         codec = bpe.Codec(bpe.Vocabulary(tokens.vocabulary(name)), None)
         ids, ends = codec.encode(__import__("pyarrow").array(texts))
         assert [ids[a:b].astype("<u4").tobytes() for a, b in zip(ends, ends[1:], strict=False)] == want
@@ -177,6 +183,13 @@ def test_bpe_codec(odd, none):
     assert got == sorted(want) and bpe.encode_documents(none, path).count() == 0
 
 
+def test_words_merged_together():
+    v = bpe.Vocabulary(tokens.vocabulary("word_bpe_49k.json"))
+    rng = np.random.default_rng(8)
+    words = ["".join(rng.choice(list("aeionrstthlé中ß,.!-"), rng.integers(1, 30))) for _ in range(3000)] + ["a", "aa" * 31, "ab" * 200, "é", "the", "!!!!!!!!"]
+    assert v.merge_all(words) == [v.merge(w) for w in words] and v.merge_all([]) == []
+
+
 def test_lexicon_is_minimal_and_exact():
     words = {w.encode(): [i, i + 1] for i, w in enumerate(["tap", "taps", "top", "tops", "stop", "stops"])}
     lex = bpe.Lexicon(np.frombuffer(bpe.compile_lexicon(words), np.uint8))
