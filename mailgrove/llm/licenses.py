@@ -7,7 +7,10 @@ of their own, the blocks of every text with a word of licence texts are compared
 the whole text, the comment block it opens with, its paragraphs, and one to WRAP lines in a row
 (statements that are wrapped), of the last three those that hold such a word. An SPDX tag
 declares its first licence with a cosine of 1. A file's licence is that of its best line, block
-or tag with a cosine of at least `least`. A directory's licence is the one most of its own
+or tag with a cosine of at least `least`. Only blocks that can reach it are weighed in full: a
+template's words are all a block can share with it, and every other word weighs at least its count,
+so the cosine is at most root of (shared / (shared + others)), both sums of squared weights.
+A directory's licence is the one most of its own
 licensed files declare (ties: the first in alphabetical order). A file without a licence of its
 own takes that of its nearest licensed directory upwards, found by joins of directory paths.
 
@@ -97,31 +100,59 @@ LEAST = 0.75
 
 
 def _tokens(line):
-    return F.filter(F.split(F.translate(line, UPPER, LOWER), "[^a-z0-9]+"), lambda x: x != "")
+    """Runs of A-Z, a-z and 0-9, lowered; with an empty one where a line begins or ends otherwise."""
+    # the two other letters whose lower case has an ASCII letter
+    ascii_only = F.replace(F.replace(line, F.lit("\u0130"), F.lit(" ")), F.lit("\u212a"), F.lit(" "))
+    return F.split(F.lower(ascii_only), "[^a-z0-9]+")
 
 
-def score_lines(lines: DataFrame, least: float = LEAST, body: str = "line") -> DataFrame:
+def _terms(df: DataFrame, *key: str) -> DataFrame:
+    """df (key, body) -> key, terms: an array of (token, tf). Nothing is shuffled if df is partitioned by a column of the key."""
+    counted = df.select(*key, F.explode(_tokens(F.col("body"))).alias("token")).filter("token <> ''").groupBy(*key, "token").agg(F.count(F.lit(1)).alias("tf"))
+    return counted.groupBy(*key).agg(F.collect_list(F.struct("token", "tf")).alias("terms"))
+
+
+def _template_tokens(spark, templates: list[tuple[str, str]]) -> DataFrame:
+    rows = spark.createDataFrame(templates, "license_id string, statement string")
+    return rows.select("license_id", F.explode(_tokens(F.col("statement"))).alias("token")).filter("token <> ''").groupBy("license_id", "token").agg(F.count(F.lit(1)).alias("tf"))
+
+
+def _frequencies(counted: DataFrame, t_tokens: DataFrame, total: DataFrame) -> DataFrame:
+    """counted (token, n: texts that hold it) and the templates -> (token, idf), at least 1."""
+    df = counted.unionByName(t_tokens.select("token", F.lit(1).cast("long").alias("n"))).groupBy("token").agg(F.sum("n").alias("df"))
+    return df.crossJoin(F.broadcast(total)).select("token", (F.log((1 + F.col("total")) / (1 + F.col("df"))) + 1).alias("idf"))
+
+
+def score_lines(lines: DataFrame, least: float = LEAST) -> DataFrame:
     """lines (line, n): distinct candidate lines and how often they occur -> (line, license_id, cosine) of those that match."""
-    spark = lines.sparkSession
-    templates = spark.createDataFrame(TEMPLATES, "license_id string, statement string")
-    return _score(lines, templates, len(TEMPLATES), least, body)
+    t_tokens = _template_tokens(lines.sparkSession, TEMPLATES)
+    terms = settle(_terms(lines.select("line", "n", F.col("line").alias("body")), "line", "n"), "license-line-terms")  # read twice below
+    counted = terms.select("n", F.explode("terms.token").alias("token")).groupBy("token").agg(F.sum("n").alias("n"))
+    total = lines.agg((F.coalesce(F.sum("n"), F.lit(0)) + len(TEMPLATES)).alias("total"))  # one row
+    return _best(terms, t_tokens, _frequencies(counted, t_tokens, total), least)
 
 
 def score_blocks(blocks: DataFrame, least: float = LEAST) -> DataFrame:
-    """blocks (line: a key, n, body): the same with BLOCKS, of which each is a template of its own."""
-    numbered = [(f"{i:03d}", text) for i, (_, text) in enumerate(BLOCKS)]
-    scored = _score(blocks, blocks.sparkSession.createDataFrame(numbered, "license_id string, statement string"), len(BLOCKS), least, "body")
+    """blocks (row, line: a key, terms), a table: the same with BLOCKS, of which each is a template of its own."""
+    t_tokens = _template_tokens(blocks.sparkSession, [(f"{i:03d}", text) for i, (_, text) in enumerate(BLOCKS)])
+    counted = blocks.select(F.explode("terms.token").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    total = blocks.agg((F.count(F.lit(1)) + len(BLOCKS)).alias("total"))  # one row; a block without words is none
+    idf = settle(_frequencies(counted, t_tokens, total), "license-weights")
+    words = idf.join(F.broadcast(t_tokens.select("token").distinct()), "token", "left_semi")  # words of the fixed templates
+    weighed = blocks.select("line", "row", F.explode("terms").alias("t")).join(F.broadcast(words), F.col("t.token") == F.col("token"), "left")
+    square = F.col("t.tf") * F.col("t.tf")
+    shared, others = F.sum(square * F.col("idf") * F.col("idf")), F.sum(F.when(F.col("idf").isNull(), square))
+    # rounding takes less than the margin
+    able = weighed.groupBy("line", "row").agg(F.coalesce(shared, F.lit(0.0)).alias("shared"), F.coalesce(others, F.lit(0)).alias("others")).filter(F.col("shared") >= max(least - 1e-5, 0.0) ** 2 * (F.col("shared") + F.col("others")))
+    one = able.groupBy("line").agg(F.min("row").alias("row"))
+    scored = _best(settle(blocks.join(one, ["line", "row"]).select("line", "terms"), "license-able"), t_tokens, idf, least)
     names = F.array(*[F.lit(name) for name, _ in BLOCKS])
     return scored.withColumn("license_id", F.element_at(names, F.col("license_id").cast("int") + 1))
 
 
-def _score(lines: DataFrame, templates: DataFrame, how_many: int, least: float, body: str) -> DataFrame:
-    t_tokens = templates.select("license_id", F.explode(_tokens(F.col("statement"))).alias("token")).groupBy("license_id", "token").agg(F.count(F.lit(1)).alias("tf"))
-    l_tokens = lines.select("line", "n", F.explode(_tokens(F.col(body))).alias("token")).groupBy("line", "n", "token").agg(F.count(F.lit(1)).alias("tf"))
-    l_tokens = settle(l_tokens, "license-tokens")  # read three times below
-    df = l_tokens.select("token", "n").unionByName(t_tokens.select("token", F.lit(1).cast("long").alias("n"))).groupBy("token").agg(F.sum("n").alias("df"))
-    total = lines.agg((F.coalesce(F.sum("n"), F.lit(0)) + how_many).alias("total"))  # one row
-    idf = df.crossJoin(F.broadcast(total)).select("token", (F.log((1 + F.col("total")) / (1 + F.col("df"))) + 1).alias("idf"))
+def _best(terms: DataFrame, t_tokens: DataFrame, idf: DataFrame, least: float) -> DataFrame:
+    """terms (line, terms) of distinct lines -> (line, license_id, cosine) of their best templates."""
+    l_tokens = terms.select("line", F.explode("terms").alias("t")).select("line", "t.token", "t.tf")
     t_weighed = t_tokens.join(idf, "token").select("license_id", "token", (F.col("tf") * F.col("idf")).alias("tw"))
     t_norm = t_weighed.groupBy("license_id").agg(F.sqrt(F.sum(F.col("tw") * F.col("tw"))).alias("tn"))
     l_weighed = l_tokens.join(idf, "token").select("line", "token", (F.col("tf") * F.col("idf")).alias("lw"))
@@ -133,14 +164,19 @@ def _score(lines: DataFrame, templates: DataFrame, how_many: int, least: float,
     return best.select("line", "b.license_id", (-F.col("b.c")).alias("cosine"))
 
 
+def _any_case(pattern: str, first: str) -> str:
+    """The pattern for A-Z in either case (Java's (?i) knows no other letters), tried only at a letter of `first`: every match begins with one."""
+    return f"(?i)(?=[{first}])(?:{pattern})"
+
+
 def _marked(every):
     """Numbers of the lines in or at whose end a word of licence texts begins, from 1."""
-    near = lambda i: F.translate(F.concat_ws(" ", F.element_at(every, i), F.element_at(every, F.least(i + 1, F.size(every)))), UPPER, LOWER)
-    return F.filter(F.sequence(F.lit(1), F.size(every)), lambda i: near(i).rlike(BLOCK_CANDIDATE))
+    near = lambda i: F.concat_ws(" ", F.element_at(every, i), F.element_at(every, F.least(i + 1, F.size(every))))
+    return F.filter(F.sequence(F.lit(1), F.size(every)), lambda i: near(i).rlike(_any_case(BLOCK_CANDIDATE, "acghlprs")))
 
 
 def _blocks(named: DataFrame) -> DataFrame:
-    """named (row, every: lines, blank: of each line, marked, opening) -> row, key, body: each distinct block of a file that may hold a licence text."""
+    """named (row, every: lines, blank: of each line, marked, opening) -> row, line: a key, terms: each distinct block of a file that may hold a licence text."""
     every, size = F.col("every"), F.size("every")
     blank = lambda i: F.element_at("blank", i)
     join = lambda a: F.array_join(a, " ")
@@ -155,7 +191,7 @@ def _blocks(named: DataFrame) -> DataFrame:
     wrapped = F.transform(runs, lambda w: join(F.slice(every, w["s"], w["n"])))
     opening = F.when(F.exists("marked", lambda j: j <= F.col("opening")), F.array(join(F.slice(every, 1, F.col("opening"))))).otherwise(F.array().cast("array<string>"))
     out = named.filter("size(marked) > 0").select("row", F.explode(F.array_distinct(F.concat(F.array(join(every)), opening, paragraphs, wrapped))).alias("body"))
-    return out.select("row", F.xxhash64("body").cast("string").alias("key"), "body")
+    return _terms(out.select("row", F.xxhash64("body").alias("line"), "body"), "row", "line")
 
 
 def _tags(named: DataFrame) -> DataFrame:
@@ -170,28 +206,25 @@ def _tags(named: DataFrame) -> DataFrame:
 def license_scan(files: DataFrame, least: float = LEAST) -> DataFrame:
     """files (doc_id, path, text) -> doc_id, path, license_id, cosine (of its own line, else null), declared_in (the directory or path)."""
     rows = pick(files, doc_id="long", path="string", text="string").withColumn("path", F.coalesce("path", F.lit("")))
-    low = F.translate("text", UPPER, LOWER)
-    every = F.split("text", "\n")
+    every = F.col("every")
+    cut = rows.select(
+        F.monotonically_increasing_id().alias("row"),
+        "doc_id",
+        "path",
+        F.regexp_extract("path", r"^(.*)/[^/]*$", 1).alias("dir"),
+        F.when(F.col("text").rlike(_any_case(BLOCK_CANDIDATE, "acghlprs")), F.split("text", "\n")).alias("every"),
+    )
     opening = F.coalesce(F.nullif(F.array_position(F.transform(every, lambda x: x.rlike(COMMENT)), F.lit(False)), F.lit(0)) - 1, F.size(every).cast("long")).cast("int")
-    lines = F.array_distinct(F.filter(every, lambda x: F.translate(x, UPPER, LOWER).rlike(CANDIDATE)))
-    may = low.rlike(BLOCK_CANDIDATE)
+    lines = F.array_distinct(F.filter(every, lambda x: x.rlike(_any_case(CANDIDATE, "lps"))))
+    found = F.struct(lines.alias("lines"), "every", F.transform(every, lambda x: x.rlike(BLANK)).alias("blank"), _marked(every).alias("marked"), opening.alias("opening"))
     # read below more than once: without this table every reading would scan the texts
-    named = settle(
-        rows.select(
-            F.monotonically_increasing_id().alias("row"),
-            "doc_id",
-            "path",
-            F.regexp_extract("path", r"^(.*)/[^/]*$", 1).alias("dir"),
-            F.when(may, F.struct(lines.alias("lines"), every.alias("every"), F.transform(every, lambda x: x.rlike(BLANK)).alias("blank"), _marked(every).alias("marked"), opening.alias("opening"))).alias("found"),
-        ),
-        "license-lines",
-    )
+    named = settle(cut.select("row", "doc_id", "path", "dir", F.when(every.isNotNull(), found).alias("found")), "license-lines")
     some = named.filter("found IS NOT NULL").select("row", "found.*")
     occur = some.select("row", F.explode("lines").alias("line"))
     scored = score_lines(occur.groupBy("line").agg(F.count(F.lit(1)).alias("n")), least)
-    blocks = settle(_blocks(some), "license-blocks")
-    distinct = blocks.groupBy(F.col("key").alias("line")).agg(F.count(F.lit(1)).alias("n"), F.first("body").alias("body"))
-    found = occur.join(scored, "line").unionByName(blocks.select("row", F.col("key").alias("line")).join(score_blocks(distinct, least), "line")).unionByName(_tags(some))
+    blocks = settle(_blocks(some.repartition("row")), "license-blocks")  # by row: no word is shuffled
+    of_blocks = blocks.select("row", "line").join(score_blocks(blocks, least), "line").select("row", "license_id", "cosine")
+    found = occur.join(scored, "line").select("row", "license_id", "cosine").unionByName(of_blocks).unionByName(_tags(some).drop("line"))
     own = found.groupBy("row").agg(F.min(F.struct((-F.col("cosine")).alias("c"), "license_id")).alias("b")).select("row", F.col("b.license_id").alias("own_license"), (-F.col("b.c")).alias("cosine"))
     files_own = settle(named.select("row", "doc_id", "path", "dir").join(own, "row", "left"), "license-own")
     votes = files_own.filter("own_license IS NOT NULL").groupBy("dir", "own_license").agg(F.count(F.lit(1)).alias("n"))
