@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mailgrove.llm.shared import pick, settle
+from mailgrove.llm.shared import pick, settle, unsettle
 
 # Usual short statements of licences (license_id, statement).
 TEMPLATES = [
@@ -93,6 +93,8 @@ BLOCK_CANDIDATE = CANDIDATE + r"|permission\s+(?:is\s+hereby|to\s+use)|redistrib
 #: Lines that are blank but for comment marks part paragraphs; the opening comment block ends at a line without a mark.
 BLANK, COMMENT = r"^[\s#*/;%!<>-]*$", r"^\s*(?:#|/\*|\*|//|;|--|%|<!--|$)"
 SPDX = r"spdx-license-identifier:[\s(]*([a-z0-9][a-z0-9.+-]*)"
+#: Keys of blocks that are sent to every executor; more are joined by a shuffle.
+BROADCAST_ROWS = 500_000
 #: Lines of a wrapped statement.
 WRAP = 4
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -123,20 +125,11 @@ def _frequencies(counted: DataFrame, t_tokens: DataFrame, total: DataFrame) -> D
     return df.crossJoin(F.broadcast(total)).select("token", (F.log((1 + F.col("total")) / (1 + F.col("df"))) + 1).alias("idf"))
 
 
-def score_lines(lines: DataFrame, least: float = LEAST) -> DataFrame:
-    """lines (line, n): distinct candidate lines and how often they occur -> (line, license_id, cosine) of those that match."""
-    t_tokens = _template_tokens(lines.sparkSession, TEMPLATES)
-    terms = settle(_terms(lines.select("line", "n", F.col("line").alias("body")), "line", "n"), "license-line-terms")  # read twice below
-    counted = terms.select("n", F.explode("terms.token").alias("token")).groupBy("token").agg(F.sum("n").alias("n"))
-    total = lines.agg((F.coalesce(F.sum("n"), F.lit(0)) + len(TEMPLATES)).alias("total"))  # one row
-    return _best(terms, t_tokens, _frequencies(counted, t_tokens, total), least)
-
-
-def score_blocks(blocks: DataFrame, least: float = LEAST) -> DataFrame:
-    """blocks (row, line: a key, terms), a table: the same with BLOCKS, of which each is a template of its own."""
-    t_tokens = _template_tokens(blocks.sparkSession, [(f"{i:03d}", text) for i, (_, text) in enumerate(BLOCKS)])
+def score(blocks: DataFrame, templates: list[tuple[str, str]], least: float = LEAST) -> DataFrame:
+    """blocks (row, line: a key, terms), a table of lines or blocks with words -> (line, license_id, cosine) of those that match a template."""
+    t_tokens = _template_tokens(blocks.sparkSession, [(f"{i:03d}", text) for i, (_, text) in enumerate(templates)])
     counted = blocks.select(F.explode("terms.token").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
-    total = blocks.agg((F.count(F.lit(1)) + len(BLOCKS)).alias("total"))  # one row; a block without words is none
+    total = blocks.agg((F.count(F.lit(1)) + len(templates)).alias("total"))  # one row
     idf = settle(_frequencies(counted, t_tokens, total), "license-weights")
     words = idf.join(F.broadcast(t_tokens.select("token").distinct()), "token", "left_semi")  # words of the fixed templates
     weighed = blocks.select("line", "row", F.explode("terms").alias("t")).join(F.broadcast(words), F.col("t.token") == F.col("token"), "left")
@@ -144,10 +137,14 @@ def score_blocks(blocks: DataFrame, least: float = LEAST) -> DataFrame:
     shared, others = F.sum(square * F.col("idf") * F.col("idf")), F.sum(F.when(F.col("idf").isNull(), square))
     # rounding takes less than the margin
     able = weighed.groupBy("line", "row").agg(F.coalesce(shared, F.lit(0.0)).alias("shared"), F.coalesce(others, F.lit(0)).alias("others")).filter(F.col("shared") >= max(least - 1e-5, 0.0) ** 2 * (F.col("shared") + F.col("others")))
-    one = able.groupBy("line").agg(F.min("row").alias("row"))
-    scored = _best(settle(blocks.join(one, ["line", "row"]).select("line", "terms"), "license-able"), t_tokens, idf, least)
-    names = F.array(*[F.lit(name) for name, _ in BLOCKS])
-    return scored.withColumn("license_id", F.element_at(names, F.col("license_id").cast("int") + 1))
+    one = settle(able.groupBy("line").agg(F.min("row").alias("row")), "license-able")
+    few = F.broadcast(one) if one.count() <= BROADCAST_ROWS else one
+    full = settle(blocks.join(few, ["line", "row"], "left_semi").select("line", "terms"), "license-full")
+    names = F.array(*[F.lit(name) for name, _ in templates])
+    scored = settle(_best(full, t_tokens, idf, least).withColumn("license_id", F.element_at(names, F.col("license_id").cast("int") + 1)), "license-scored")
+    for table in (idf, one, full):
+        unsettle(table)
+    return scored
 
 
 def _best(terms: DataFrame, t_tokens: DataFrame, idf: DataFrame, least: float) -> DataFrame:
@@ -220,13 +217,17 @@ def license_scan(files: DataFrame, least: float = LEAST) -> DataFrame:
     # read below more than once: without this table every reading would scan the texts
     named = settle(cut.select("row", "doc_id", "path", "dir", F.when(every.isNotNull(), found).alias("found")), "license-lines")
     some = named.filter("found IS NOT NULL").select("row", "found.*")
-    occur = some.select("row", F.explode("lines").alias("line"))
-    scored = score_lines(occur.groupBy("line").agg(F.count(F.lit(1)).alias("n")), least)
-    blocks = settle(_blocks(some.repartition("row")), "license-blocks")  # by row: no word is shuffled
-    of_blocks = blocks.select("row", "line").join(score_blocks(blocks, least), "line").select("row", "license_id", "cosine")
-    found = occur.join(scored, "line").select("row", "license_id", "cosine").unionByName(of_blocks).unionByName(_tags(some).drop("line"))
+    # partitioned by row, so that no word is shuffled
+    lines = some.select("row", "lines").repartition("row").select("row", F.explode("lines").alias("body"))
+    lines = settle(_terms(lines.select("row", F.xxhash64("body").alias("line"), "body"), "row", "line"), "license-line-terms")
+    blocks = settle(_blocks(some.select("row", "every", "blank", "marked", "opening").repartition("row")), "license-block-terms")
+    found = _tags(some).drop("line")
+    for table, templates in ((lines, TEMPLATES), (blocks, BLOCKS)):
+        found = found.unionByName(table.select("row", "line").join(score(table, templates, least), "line").select("row", "license_id", "cosine"))
     own = found.groupBy("row").agg(F.min(F.struct((-F.col("cosine")).alias("c"), "license_id")).alias("b")).select("row", F.col("b.license_id").alias("own_license"), (-F.col("b.c")).alias("cosine"))
     files_own = settle(named.select("row", "doc_id", "path", "dir").join(own, "row", "left"), "license-own")
+    for table in (named, lines, blocks):
+        unsettle(table)
     votes = files_own.filter("own_license IS NOT NULL").groupBy("dir", "own_license").agg(F.count(F.lit(1)).alias("n"))
     declared = votes.groupBy("dir").agg(F.min(F.struct((-F.col("n")).alias("n"), "own_license")).alias("b")).select(F.col("dir").alias("above"), F.col("b.own_license").alias("dir_license"))
     # every directory that holds files, with each directory above it; nearest licensed one wins
