@@ -8,8 +8,9 @@ the whole text, the comment block it opens with, its paragraphs, and one to WRAP
 (statements that are wrapped), of the last three those that hold such a word. An SPDX tag
 declares its first licence with a cosine of 1. A file's licence is that of its best line, block
 or tag with a cosine of at least `least`. Only blocks that can reach it are weighed in full: a
-template's words are all a block can share with it, and every other word weighs at least its count,
-so the cosine is at most root of (shared / (shared + others)), both sums of squared weights.
+templates' words are all a block can share with one, and another word weighs at least its count
+times the least idf of its bucket, so the cosine is at most the root of shared / (shared + others),
+both sums of squared weights.
 A directory's licence is the one most of its own
 licensed files declare (ties: the first in alphabetical order). A file without a licence of its
 own takes that of its nearest licensed directory upwards, found by joins of directory paths.
@@ -93,6 +94,8 @@ BLOCK_CANDIDATE = CANDIDATE + r"|permission\s+(?:is\s+hereby|to\s+use)|redistrib
 #: Lines that are blank but for comment marks part paragraphs; the opening comment block ends at a line without a mark.
 BLANK, COMMENT = r"^[\s#*/;%!<>-]*$", r"^\s*(?:#|/\*|\*|//|;|--|%|<!--|$)"
 SPDX = r"spdx-license-identifier:[\s(]*([a-z0-9][a-z0-9.+-]*)"
+#: Buckets of words of which the least idf is known everywhere; their number changes speed only.
+BUCKETS = 1 << 17
 #: Keys of blocks that are sent to every executor; more are joined by a shuffle.
 BROADCAST_ROWS = 500_000
 #: Lines of a wrapped statement.
@@ -114,6 +117,10 @@ def _terms(df: DataFrame, *key: str) -> DataFrame:
     return counted.groupBy(*key).agg(F.collect_list(F.struct("token", "tf")).alias("terms"))
 
 
+def _bucket(token: str):
+    return F.pmod(F.xxhash64(token), F.lit(BUCKETS)).cast("int")
+
+
 def _template_tokens(spark, templates: list[tuple[str, str]]) -> DataFrame:
     rows = spark.createDataFrame(templates, "license_id string, statement string")
     return rows.select("license_id", F.explode(_tokens(F.col("statement"))).alias("token")).filter("token <> ''").groupBy("license_id", "token").agg(F.count(F.lit(1)).alias("tf"))
@@ -132,11 +139,14 @@ def score(blocks: DataFrame, templates: list[tuple[str, str]], least: float = LE
     total = blocks.agg((F.count(F.lit(1)) + len(templates)).alias("total"))  # one row
     idf = settle(_frequencies(counted, t_tokens, total), "license-weights")
     words = idf.join(F.broadcast(t_tokens.select("token").distinct()), "token", "left_semi")  # words of the fixed templates
-    weighed = blocks.select("line", "row", F.explode("terms").alias("t")).join(F.broadcast(words), F.col("t.token") == F.col("token"), "left")
-    square = F.col("t.tf") * F.col("t.tf")
-    shared, others = F.sum(square * F.col("idf") * F.col("idf")), F.sum(F.when(F.col("idf").isNull(), square))
+    # at most BUCKETS rows: what the lightest word of a bucket weighs
+    floors = idf.groupBy(_bucket("token").alias("bucket")).agg(F.min("idf").alias("floor"))
+    weighed = blocks.select("line", "row", F.explode("terms").alias("t")).select("line", "row", "t.token", "t.tf", _bucket("t.token").alias("bucket"))
+    weighed = weighed.join(F.broadcast(words), "token", "left").join(F.broadcast(floors), "bucket")
+    square = lambda weight: F.col("tf") * F.col("tf") * F.col(weight) * F.col(weight)
+    shared, others = F.sum(square("idf")), F.sum(F.when(F.col("idf").isNull(), square("floor")))
     # rounding takes less than the margin
-    able = weighed.groupBy("line", "row").agg(F.coalesce(shared, F.lit(0.0)).alias("shared"), F.coalesce(others, F.lit(0)).alias("others")).filter(F.col("shared") >= max(least - 1e-5, 0.0) ** 2 * (F.col("shared") + F.col("others")))
+    able = weighed.groupBy("line", "row").agg(F.coalesce(shared, F.lit(0.0)).alias("shared"), F.coalesce(others, F.lit(0.0)).alias("others")).filter(F.col("shared") >= max(least - 1e-5, 0.0) ** 2 * (F.col("shared") + F.col("others")))
     one = settle(able.groupBy("line").agg(F.min("row").alias("row")), "license-able")
     few = F.broadcast(one) if one.count() <= BROADCAST_ROWS else one
     full = settle(blocks.join(few, ["line", "row"], "left_semi").select("line", "terms"), "license-full")
