@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mailgrove.llm.shared import arrow_batches, numbered, pick, place_of, settle, unsettle
+from mailgrove.llm.shared import arrow_batches, numbered, pick, place_of, release_worker, settle, unsettle
 
 #: ASCII white space stripped from a key's ends.
 BLANKS = " \t\n\x0b\x0c\r"
@@ -62,6 +62,7 @@ def line_hashes(docs: DataFrame, min_chars: int) -> DataFrame:
     digest = xxhash.xxh3_128_digest
 
     def run(batches):
+        release_worker()
         for batch in arrow_batches(batches, 256):
             raw, ids, tags, at = [], [], [], []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):

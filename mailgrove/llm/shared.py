@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
+import ctypes
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -139,6 +143,17 @@ def worker_state(key: tuple, make):
     return _WORKER[key]
 
 
+def release_worker() -> None:
+    """Forget what an earlier stage's code knows and hand its memory back: workers live on from stage to stage."""
+    if not _WORKER:
+        return
+    _WORKER.clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only where the C library can
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def gather(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Places of all elements of slices (start, size), one slice after the other."""
     ends = np.cumsum(sizes)

@@ -184,3 +184,24 @@ def test_licence_is_inherited_over_levels(spark):
     rows = [(1, "a/one", mit), (2, "a/b/two", "words"), (3, "a/b/c/three", "words"), (4, "a/b/c/d/four", "words"), (5, "a/x/five", apache), (6, "a/x/y/z/six", "words"), (7, "q/r/seven", "words")]
     got = {r["doc_id"]: (r["license_id"], r["declared_in"]) for r in licenses.license_scan(spark.createDataFrame(rows, "doc_id long, path string, text string")).collect()}
     assert got == {1: ("MIT", "a/one"), 2: ("MIT", "a"), 3: ("MIT", "a"), 4: ("MIT", "a"), 5: ("Apache-2.0", "a/x/five"), 6: ("Apache-2.0", "a/x"), 7: (None, None)}
+
+
+def test_near_copies_by_sketches(spark):
+    """Sketches rule out no similar pair, however full their bytes, and keep most of the others' sets from being brought together."""
+    rng = np.random.default_rng(12)
+    told = []
+    for n in (3, 200, 3000, 100_000):
+        base = rng.choice(1 << 32, n, replace=False).astype(np.uint32)
+        for share in (0.0, 0.02, 0.05, 0.1, 0.3):
+            other = base.copy()
+            other[: int(n * share)] = rng.choice(1 << 32, int(n * share)).astype(np.uint32)
+            a, b = np.unique(base), np.unique(other)
+            x, y = (np.frombuffer(neardup.sketch(s), np.uint8)[None] for s in (a, b))
+            may = neardup.may_be_similar(x, y, np.array([len(a)]), np.array([len(b)]))[0]
+            assert may or not neardup.similar(a, b)
+            told.append((n, share, bool(may)))
+    assert (200, 0.3, False) in told and (100_000, 0.3, True) in told
+    base = np.arange(1000, 1200)
+    sets = spark.createDataFrame([(1, base.tolist()), (2, (base + 10).tolist()), (3, (base + 90).tolist())], "fp long, shingles array<int>")
+    pairs = spark.createDataFrame([(2, 1), (3, 1), (3, 2)], "a long, b long")
+    assert {(r["a"], r["b"]) for r in neardup._close(pairs, sets).collect()} == {(2, 1)}
