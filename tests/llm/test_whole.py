@@ -1,13 +1,14 @@
 """What a review found left out: each test fails where part of the job is cut."""
 
 import itertools
+import zlib
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from mailgrove.llm import charlm, licenses, neardup
+from mailgrove.llm import charlm, licenses, neardup, vecdedup
 
 KIND = "doc_id long, text string"
 
@@ -205,3 +206,18 @@ def test_near_copies_by_sketches(spark):
     sets = spark.createDataFrame([(1, base.tolist()), (2, (base + 10).tolist()), (3, (base + 90).tolist())], "fp long, shingles array<int>")
     pairs = spark.createDataFrame([(2, 1), (3, 1), (3, 2)], "a long, b long")
     assert {(r["a"], r["b"]) for r in neardup._close(pairs, sets).collect()} == {(2, 1)}
+
+
+def test_vectors_are_dealt_out_once(spark, monkeypatch):
+    """However many lists a vector probes, the index holds it once, in files that each are one task's; links over all files are those of brute force."""
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(900, 24))
+    x[600:] = x[:300] + rng.normal(size=(300, 24)) * 0.45  # about the threshold
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    told = []
+    monkeypatch.setattr(vecdedup, "ROWS", 64)
+    monkeypatch.setattr(vecdedup, "write_index", lambda *args, write=vecdedup.write_index: told.append(write(*args)) or told[0])
+    got = {r["vec_id"]: r["n_links"] for r in vecdedup.near_duplicates(df).collect()}
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    assert got == dict(enumerate(((u @ u.T >= 0.9).sum(axis=1) - 1).tolist())) and 50 < sum(got.values()) < 600
+    assert len(told[0][1]) > 8 and sum(len(zlib.decompress(cells)) // 4 for _, cells in told[0][1]) == 900
