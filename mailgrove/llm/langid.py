@@ -1,14 +1,15 @@
 """Language identification by character Kneser-Ney models (operator 1).
 
 One model per learned language; the language of the lowest length-normalised cross-entropy
-wins (ties: the first in alphabetical order). Confidence and rejection are calibrated with a
-model that hasn't counted the calibration rows; then all training rows are counted. A text is
-rejected if its cross-entropy is beyond what all but `1 - KEEP` of the calibration rows of its
-length have: the limit is level + spread / root of the characters.
+wins (ties: the first in alphabetical order). Confidence and rejection are calibrated on all
+training rows: their texts fall into two halves, and each half is scored by a trial model that
+has counted the other only. Then all training rows are counted. A text is rejected if its
+cross-entropy is beyond what all but `1 - KEEP` of the training rows of its length have: the
+limit is level + spread / root of the characters.
 
 Defined cases: a null text, or one without letters (\\p{L}), is `und` with score 0 and is
 rejected; a null lang teaches nothing; with no training rows every text is `und` and the stage
-rejects all; a single learned language is always predicted; with no calibration rows nothing
+rejects all; a single learned language is always predicted; with texts in one half only nothing
 with a letter is rejected; repeated rows are repeated; an empty table gives an empty result;
 extra columns are ignored.
 """
@@ -28,10 +29,10 @@ from mailgrove.llm import charlm
 from mailgrove.llm.shared import arrow_batches, keep_rows, pick, settle, unsettle, worker_state
 
 ORDER = 4
-#: Rows that confidence and rejection are calibrated on, at most: of one in APART texts, those with the least hash.
-CALIBRATION_ROWS, APART = 4000, 16
-#: Share of calibration rows within the limit of rejection, and nats a character added for safety.
+#: Share of training rows within the limit of rejection, and nats a character added for safety.
 KEEP, SLACK = 0.995, 0.5
+#: Scales of the confidence to choose from.
+SCALES = [0.01, 0.02, 0.05, 0.1, 0.2, 0.5, 1.0]
 
 
 def fold(doc_id, n: int):
@@ -81,49 +82,66 @@ def _confidence(entropy, n, scale):
     return 1.0 / np.exp(-np.minimum(gap, 700)).sum(axis=1)
 
 
-def _scored(rows: DataFrame, model: charlm.Model):
-    """rows (text, label) -> a table of ll, n, label on the driver; for bounded rows only."""
+def _scored(rows: DataFrame, model: charlm.Model) -> DataFrame:
+    """rows (text, label) -> a table of those with letters: characters, least cross-entropy, loss of the confidence at each scale."""
 
     def run(batches):
         for batch in arrow_batches(batches, charlm.DOCS):
             ll, n = Scorer.of(model).documents(batch.column(0))
-            yield pa.RecordBatch.from_arrays([pa.FixedSizeListArray.from_arrays(pa.array(ll.reshape(-1)), model.labels).cast(pa.list_(pa.float64())), pa.array(n), batch.column(1)], ["ll", "n", "label"])
-
-    return rows.select("text", "label").mapInArrow(run, "ll array<double>, n double, label int").toPandas()
-
-
-def _calibrated(seen) -> tuple[float, float, float]:
-    """(scale of the confidence, level and spread of the limit)."""
-    seen = seen[seen["n"] > 0]
-    if not len(seen):
+            some = n > 0
+            ll, n, label = ll[some], n[some], batch.column(1).to_numpy()[some]
+            entropy = _entropy(ll, n)
+            right = entropy.argmin(axis=1) == label
+            loss = [-np.where(right, np.log(c), np.log1p(-np.minimum(c, 1 - 1e-9))) for c in (_confidence(entropy, n, s) for s in SCALES)]
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.float64()) for x in (n, entropy.min(axis=1), *loss)], ["n", "least", *(f"loss{i}" for i in range(len(SCALES)))])
+
+    return settle(rows.select("text", "label").mapInArrow(run, ", ".join(["n double", "least double", *(f"loss{i} double" for i in range(len(SCALES)))])), "language-calibration")
+
+
+def ranked(values: DataFrame, value, at: int) -> float:
+    """The value at place `at` (from 0) of all values in order, exactly: by counts of ever narrower ranges, at most 1025 rows each."""
+    values = values.select(value.alias("v"))
+    lo, hi = values.agg(F.min("v"), F.max("v")).first()
+    while lo < hi:
+        cell = F.floor((F.col("v") - lo) / (hi - lo) * 1024)
+        for r in sorted(values.filter(F.col("v").between(lo, hi)).groupBy(cell.alias("cell")).agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).collect(), key=lambda r: r["cell"]):
+            if at < r["n"]:
+                lo, hi = r["lo"], r["hi"]
+                break
+            at -= r["n"]
+    return lo
+
+
+def _calibrated(seen: DataFrame) -> tuple[float, float, float]:
+    """(scale of the confidence, level and spread of the limit) by all rows of _scored."""
+    count, *loss = seen.agg(F.count(F.lit(1)), *[F.sum(f"loss{i}") for i in range(len(SCALES))]).first()
+    if not count:
         return 0.2, math.inf, 0.0
-    n = seen["n"].to_numpy()
-    entropy = _entropy(np.stack(seen["ll"]), n)
-    right = entropy.argmin(axis=1) == seen["label"].to_numpy()
-    grid = [0.01, 0.02, 0.05, 0.1, 0.2, 0.5, 1.0]
-    loss = [-np.mean(np.where(right, np.log(c), np.log1p(-np.minimum(c, 1 - 1e-9)))) for c in (_confidence(entropy, n, s) for s in grid)]
-    least = entropy.min(axis=1)
-    middle = float(np.median(least))
+    least, root = F.col("least"), F.sqrt("n")
+    middle = ranked(seen, least, (count - 1) // 2)
     # chance alone moves a mean over n characters by spread / root(n); short texts have the wider limit
-    spread = 4 * float(np.median(np.abs(least - middle) * np.sqrt(n))) / 0.6745
-    level = float(np.quantile(least - spread / np.sqrt(n), KEEP, method="higher"))
-    return grid[int(np.argmin(loss))], max(level, middle) + SLACK, spread
+    spread = 4 * ranked(seen, F.abs(least - middle) * root, (count - 1) // 2) / 0.6745
+    level = ranked(seen, least - spread / root, math.ceil(KEEP * (count - 1)))
+    return SCALES[int(np.argmin(loss))], max(level, middle) + SLACK, spread
 
 
 def fit(rows: DataFrame, order: int = ORDER) -> Fitted:
-    """rows (doc_id, text, lang): the fitted models. Every row counts."""
+    """rows (doc_id, text, lang): the fitted models. Every row counts, for the models and for confidence and rejection."""
     known = rows.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
     langs = sorted(r["lang"] for r in known.select("lang").distinct().collect())  # one row a language
     if not langs:
         return Fitted([], None, 1.0, 0.0, 0.0)
     label = F.array_position(F.array(*[F.lit(x) for x in langs]), F.col("lang")).cast("int") - 1
     fitted = known.withColumn("label", label)
-    apart = F.pmod(F.xxhash64("text"), F.lit(APART)) == 0  # by text, so that copies stay on one side
-    sides = fitted.select("text", (F.col("label") * 2 + apart.cast("int")).alias("label"))
-    words = settle(charlm.count_words(sides, 2 * len(langs)).select("word", F.expr("label div 2").cast("int").alias("label"), (F.col("label") % 2).alias("apart"), "n"), "language-words")
-    some = fitted.filter(apart).select("text", "label").orderBy(F.xxhash64("text", F.lit(1)), "text", "label").limit(CALIBRATION_ROWS)
-    trial = charlm.fit_model(words.filter("apart = 0"), order, len(langs), shared=False)
-    scale, level, spread = _calibrated(_scored(some.repartition(16), trial))
+    half = F.pmod(F.xxhash64("text"), F.lit(2)).cast("int")  # by text, so that copies stay on one side
+    sides = fitted.select("text", (F.col("label") * 2 + half).alias("label"))
+    words = settle(charlm.count_words(sides, 2 * len(langs)).select("word", F.expr("label div 2").cast("int").alias("label"), (F.col("label") % 2).alias("half"), "n"), "language-words")
+    scale, level, spread = 0.2, math.inf, 0.0
+    if words.select("half").distinct().count() == 2:
+        trial = [_scored(fitted.filter(half != side), charlm.fit_model(words.filter(F.col("half") == side), order, len(langs), shared=False)) for side in (0, 1)]
+        scale, level, spread = _calibrated(trial[0].union(trial[1]))
+        for table in trial:
+            unsettle(table)
     model = charlm.fit_model(words.groupBy("word", "label").agg(F.sum("n").alias("n")), order, len(langs), shared=False)
     unsettle(words)
     return Fitted(langs, model, scale, level, spread)

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from mailgrove.llm import charlm, licenses, neardup, vecdedup
+from mailgrove.llm import charlm, langid, licenses, neardup, vecdedup
 
 KIND = "doc_id long, text string"
 
@@ -221,3 +221,21 @@ def test_vectors_are_dealt_out_once(spark, monkeypatch):
     u = x / np.linalg.norm(x, axis=1, keepdims=True)
     assert got == dict(enumerate(((u @ u.T >= 0.9).sum(axis=1) - 1).tolist())) and 50 < sum(got.values()) < 600
     assert len(told[0][1]) > 8 and sum(len(zlib.decompress(cells)) // 4 for _, cells in told[0][1]) == 900
+
+
+def test_language_limits_come_from_all_rows(spark, monkeypatch):
+    """Confidence and rejection are calibrated on every training row that has letters, and their order statistics are exact."""
+    seen = []
+    monkeypatch.setattr(langid, "_calibrated", lambda table, calibrated=langid._calibrated: (seen.append(table.toPandas() if hasattr(table, "toPandas") else table), calibrated(table))[1])
+    words = {"aa": ["river", "stone", "bread", "window"], "bb": ["strom", "stein", "brot", "fenster"]}
+    rng = np.random.default_rng(2)
+    rows = [(i, " ".join(rng.choice(words[lang], 1 + i % 9)) + f" {chr(97 + i % 26)}{chr(97 + i // 26)}", lang) for i, lang in enumerate(["aa", "bb"] * 100)] + [(900, "12 34", "aa")]
+    fitted = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert len(seen[0]) == 200
+    least, root = seen[0]["least"].to_numpy(), np.sqrt(seen[0]["n"].to_numpy())
+    middle = np.quantile(least, 0.5, method="lower")
+    assert fitted.spread == pytest.approx(4 * np.quantile(np.abs(least - middle) * root, 0.5, method="lower") / 0.6745)
+    assert fitted.level == pytest.approx(max(middle, np.quantile(least - fitted.spread / root, langid.KEEP, method="higher")) + langid.SLACK)
+    values = rng.normal(size=500).round(2)
+    df = spark.createDataFrame([(float(v),) for v in values], "v double")
+    assert [langid.ranked(df, F.col("v"), k) for k in (0, 250, 499)] == np.sort(values)[[0, 250, 499]].tolist()
