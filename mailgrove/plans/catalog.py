@@ -74,7 +74,7 @@ def _select_date(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem")
     micros = F.unix_micros(F.col("l_shipdate").cast("timestamp"))
     odd = F.when(F.col("l_linenumber") == 3, F.lit(0).cast("long")).when(F.col("l_linenumber") == 4, micros + 86_400_000_000 * 36_500).otherwise(micros)
-    per = lines.groupBy("l_orderkey").agg(F.sort_array(F.collect_list(odd)).alias("options"))
+    per = lines.groupBy("l_orderkey").agg(F.collect_list(odd).alias("options"))
     now = F.lit(1_779_062_556_000_000)
     return per.select("l_orderkey", dates.select_date(F.col("options"), now).alias("chosen_micros"))
 
