@@ -18,6 +18,9 @@ from pyspark.sql import functions as F
 MAIL = re.compile(r"[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+(?:\.[a-zA-Z]{2,})?")
 BRACKETED = re.compile(r"([^<]*?)\s*<([^>]+@[^>]+)>")
 LEAD = re.compile(r"(?s)(.*[:,;][ \t]*)?(.*)\Z")
+#: One address, or one name and its address in brackets, by itself: the JVM's own functions make its pseudonym.
+_NAME, _ADDRESS = r"[!-+\--9=?A-~À-ɏ]", r"[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+"
+PLAIN = rf"^(?:{_NAME}+(?: +{_NAME}+)* <{_ADDRESS}>|{_ADDRESS})\z"
 TEXT_COLUMNS, LIST_COLUMNS, TRAILER_COLUMN = ("from", "raw_body"), ("to", "cc"), "trailers"
 
 
@@ -52,24 +55,36 @@ def pseudonymise_text(text: str, strict: bool = False) -> str:
     return "\n".join([_line(x, len(lines) > 1 and not strict) for x in lines])
 
 
+def _plain(c: Column) -> Column:
+    """Whether a text needs no Python; never NULL."""
+    return c.isNull() | ~c.contains("@") | c.rlike(PLAIN)
+
+
+def _plain_pseudonym(c: Column) -> Column:
+    """pseudonymise_text of what _plain accepts; NULL stays NULL."""
+    mail = F.substring_index(F.substring_index(c, "<", -1), ">", 1)
+    both = F.concat(F.sha1(F.rtrim(F.substring_index(c, "<", 1))), F.lit(" <"), F.sha1(mail), F.lit(">"))
+    return F.when(~c.contains("@"), c).when(c.contains("<"), both).otherwise(F.sha1(c))
+
+
 def pseudonymise(c: Column, strict: bool = False) -> Column:
-    """Texts without an @ never leave the JVM."""
+    """Texts without an @ and plain identities never leave the JVM."""
 
     @F.pandas_udf("string")
     def run(s: pd.Series) -> pd.Series:
         return s.map(lambda t: None if t is None else pseudonymise_text(t, strict))
 
-    return F.when(c.contains("@"), run(F.when(c.contains("@"), c))).otherwise(c)
+    return F.coalesce(run(F.when(~_plain(c), c)), _plain_pseudonym(c))
 
 
 def pseudonymise_list(c: Column, strict: bool = False) -> Column:
-    """Element by element; a NULL list stays NULL, a NULL element becomes empty."""
+    """Element by element; a NULL list stays NULL, a NULL element becomes empty. Lists of plain identities never leave the JVM."""
 
     @F.pandas_udf("array<string>")
     def run(s: pd.Series) -> pd.Series:
         return s.map(lambda xs: None if xs is None else [pseudonymise_text(x or "", strict) for x in xs])
 
-    return run(c)
+    return F.coalesce(run(F.when(F.exists(c, lambda x: ~_plain(x)), c)), F.transform(c, lambda x: F.coalesce(_plain_pseudonym(x), F.lit(""))))
 
 
 def pseudonymise_trailers(c: Column, strict: bool = False) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mailgrove.functions import addresses, dates, extract, identity, ids
@@ -45,6 +45,11 @@ def _aux(df):
     return analysis.auxiliary_contributors(df, "1998-01-01").withColumn("point", F.date_format("point", SECONDS))
 
 
+def _each(df: DataFrame, items: Column) -> DataFrame:
+    """A row (message_id, pos, t) for each of the items, none of them NULL. The plain explode would have the items worked out once more, by a filter on their number that the optimizer adds below it."""
+    return df.select("message_id", F.posexplode_outer(items).alias("pos", "t")).where("t IS NOT NULL")
+
+
 def _trailers(df):
     return df.select("message_id", F.posexplode(extract.trailers(F.col("raw_body"))).alias("pos", "t")).select("message_id", "pos", "t.attribution", "t.identification")
 
@@ -162,7 +167,7 @@ QUERIES: dict[str, tuple] = {
     ),
     "anonymize_from": (_on_mail(lambda d: identity.pseudonymise_frame(d.select("message_id", "from")).withColumnRenamed("from", "sender")), f"WITH {MAIL} SELECT message_id, sha1(c_name) || ' <' || sha1(address) || '>' AS sender FROM mail"),
     "anonymize_trailers": (
-        _on_mail(lambda d: identity.pseudonymise_frame(d.select("message_id", "trailers")).select("message_id", F.explode("trailers").alias("t")).select("message_id", "t.attribution", "t.identification")),
+        _on_mail(lambda d: _each(identity.pseudonymise_frame(d.select("message_id", "trailers")), F.col("trailers")).select("message_id", "t.attribution", "t.identification")),
         f"WITH {MAIL} SELECT l_orderkey || '@orders' AS message_id, attribution, sha1(s_name) || ' <' || sha1(address) || '>' AS identification FROM trailer",
     ),
     "anonymize_list": (

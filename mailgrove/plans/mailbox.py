@@ -12,13 +12,14 @@ def mailbox(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders, customer, nation = (table(spark, sf_dir, t) for t in ("orders", "customer", "nation"))
     lines, part, supplier = (table(spark, sf_dir, t) for t in ("lineitem", "part", "supplier"))
     tag = F.when(F.col("l_returnflag") == "R", "Reviewed-by").when(F.col("l_returnflag") == "A", "Tested-by").otherwise("Signed-off-by")
-    who = F.concat(F.col("s_name"), F.lit(" <"), F.lower(F.translate("s_name", "#", ".")), F.lit("@suppliers.example>"))
+    # once a supplier, not once a line
+    supplier = supplier.select("s_suppkey", F.concat(F.col("s_name"), F.lit(" <"), F.lower(F.translate("s_name", "#", ".")), F.lit("@suppliers.example>")).alias("who"))
     made = (
         lines.join(supplier, lines.l_suppkey == supplier.s_suppkey)
         .join(part, lines.l_partkey == part.p_partkey)
         .groupBy("l_orderkey")
         .agg(
-            F.transform(F.sort_array(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", tag.alias("attribution"), who.alias("identification")))), lambda x: F.struct(x["attribution"].alias("attribution"), x["identification"].alias("identification"))).alias("trailers"),
+            F.transform(F.sort_array(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", tag.alias("attribution"), F.col("who").alias("identification")))), lambda x: F.struct(x["attribution"].alias("attribution"), x["identification"].alias("identification"))).alias("trailers"),
             F.sort_array(F.collect_list(F.when(F.col("l_linestatus") == "O", F.col("p_name")))).alias("open_parts"),
         )
     )
