@@ -18,9 +18,13 @@ SIMPLE = rf"^[^<\s](?:[^<]*[^<\s])? <{LOCAL}@{HOST}>\z"
 STRIPPED = r"^([^<]*)<([^@>]*[^A-Za-z0-9@>-])([A-Za-z0-9-]+\.[A-Za-z]{2,4})>(?U:\s*)\z"
 
 
+#: Unicode's white space.
+WHITE = "\t\n\x0b\f\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+
+
 def trim(c: Column) -> Column:
     """Unicode white space off both ends."""
-    return F.regexp_replace(c, r"(?U)^\s+|\s+\z", "")
+    return F.btrim(c, F.lit(WHITE))
 
 
 def named(name: Column, mail: Column) -> Column:

@@ -51,7 +51,9 @@ def _each(df: DataFrame, items: Column) -> DataFrame:
 
 
 def _trailers(df):
-    return df.select("message_id", F.posexplode(extract.trailers(F.col("raw_body"))).alias("pos", "t")).select("message_id", "pos", "t.attribution", "t.identification")
+    # trailers are taken apart once they are rows, so that only the parts that are asked for are made
+    parts = _each(df, extract.found(F.col("raw_body"))).select("message_id", "pos", extract.attribution(F.col("t")).alias("attribution"), extract.named_mail(F.col("t")).alias("identification"))
+    return parts.withColumn("identification", addresses.normalize_address(F.col("identification")))
 
 
 def _patch_sections(spark, sf_dir):
