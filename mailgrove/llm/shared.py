@@ -119,7 +119,8 @@ def components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
     now = settle(ends, "edges")
     mark = None
     for _ in range(max_rounds):
-        seen = now.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("hi", "lo").bitwiseAND(F.lit(0xFFFFFFFFFFFF))).alias("s")).first()
+        # exclusive or: a sum of hashes leaves a long's range, an error, at some 65,000 edges
+        seen = now.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("hi", "lo")).alias("s")).first()
         if mark == (seen["n"], seen["s"]) or not seen["n"]:
             break
         mark = (seen["n"], seen["s"])
